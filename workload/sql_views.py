@@ -129,7 +129,7 @@ v_card AS (
 
 _STATUS = " ".join(f"WHEN '{event}' THEN '{status}'" for event, status in JOB_STATUS.items())
 V_JOB = f"""v_job AS (
-  SELECT event_id, user_id AS artifact_id, CASE event_type {_STATUS} END AS status, ts AS at,
+  SELECT event_id, user_id AS artifact_id, CASE event_type {_STATUS} END AS status, ts,
     CASE WHEN event_id % 3 = 0 THEN 'native' END AS parser,
     CASE WHEN event_type = 'error' THEN 'boom ' || event_id END AS error, value
   FROM events)"""

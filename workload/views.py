@@ -282,7 +282,7 @@ def v_job(spark: SparkSession, d: str) -> DataFrame:
         F.col("event_id").alias("event_id"),
         F.col("user_id").alias("artifact_id"),
         status.alias("status"),
-        F.col("ts").alias("at"),
+        "ts",
         F.when(F.col("event_id") % 3 == 0, F.lit("native")).alias("parser"),
         F.when(F.col("event_type") == "error", F.concat(F.lit("boom "), F.col("event_id"))).alias(
             "error"
