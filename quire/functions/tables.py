@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quire import values as V
-from quire.functions.text import DIGIT, collapse_blanks, fold_text, strip
+from quire.functions.text import DIGIT, bind, collapse_blanks, fold_text, strip
 
 BBOX = "struct<x0:double,y0:double,x1:double,y1:double>"
 
@@ -21,10 +21,13 @@ def is_period_token(text: Column) -> Column:
     return strip(text).rlike(f"(?iU){either}")
 
 
+def is_small_number(text: Column) -> Column:
+    return strip(text).rlike("^\\p{Nd}{1,3}$")
+
+
 def is_amount(text: Column) -> Column:
     """A figure that is neither a period nor a bare number of one to three digits."""
-    small = strip(text).rlike("^\\p{Nd}{1,3}$")
-    return has_digit(text) & ~is_period_token(text) & ~small
+    return has_digit(text) & ~is_small_number(text) & ~is_period_token(text)
 
 
 def has_unit(text: Column) -> Column:
@@ -33,8 +36,9 @@ def has_unit(text: Column) -> Column:
 
 def unit_caption(blob: Column) -> Column:
     """First unit caption, blanks collapsed; null if there is none or it is too long."""
-    found = collapse_blanks(F.regexp_extract(blob, f"(?isU){V.UNIT_CAPTION}", 1))
-    return F.when(F.length(found).between(1, V.MAX_UNIT_CHARS), found)
+    found = F.regexp_extract(blob, f"(?isU){V.UNIT_CAPTION}", 1)
+    fits = lambda text: F.when(F.length(text).between(1, V.MAX_UNIT_CHARS), text)
+    return F.when(found != "", bind(collapse_blanks(found), fits))
 
 
 def unit_scale(blob: Column) -> Column:
@@ -47,11 +51,13 @@ def extract_unit_text(*blobs: Column) -> Column:
 
 
 def column_role(header: Column) -> Column:
-    folded = fold_text(header)
-    ladder = F.when(F.lit(False), F.lit("value"))
-    for role, pattern in V.HEADER_ROLES:
-        ladder = ladder.when(folded.rlike(f"(?U){pattern}"), role)
-    return ladder.otherwise("value")
+    def ladder(folded: Column) -> Column:
+        result = F.when(folded == "", "value")
+        for role, pattern in V.HEADER_ROLES:
+            result = result.when(folded.rlike(f"(?U){pattern}"), role)
+        return result.otherwise("value")
+
+    return bind(fold_text(header), ladder)
 
 
 def indent_spaces(label: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html as _html
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cache
 
 import pandas as pd
@@ -30,6 +30,11 @@ DIGIT = (
 )
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(BLANKS))
 
@@ -95,16 +100,17 @@ def fold_text(col: Column) -> Column:
     source, target, many = _fold_tables()
     pairs = "\x02".join(f"{char}\x01{folded}" for char, folded in many.items())
     table = F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
-    bare = F.translate(col, source, target)
-    present = F.array_distinct(F.regexp_extract_all(bare, F.lit(_many_class(1)), F.lit(0)))
-    expanded = F.aggregate(
-        present, bare, lambda text, char: F.replace(text, char, F.try_element_at(table, char))
-    )
-    return (
-        F.when(~col.rlike("[^\\x00-\\x7F]"), F.lower(F.translate(col, "_-.", "   ")))
-        .when(col.rlike(_many_class(0x400)), expanded)
-        .otherwise(bare)
-    )
+
+    def expand(bare: Column) -> Column:
+        present = F.array_distinct(F.regexp_extract_all(bare, F.lit(_many_class(1)), F.lit(0)))
+        expanded = F.aggregate(
+            present, bare, lambda text, char: F.replace(text, char, F.try_element_at(table, char))
+        )
+        return F.when(bare.rlike(_many_class(0x400)), expanded).otherwise(bare)
+
+    return F.when(
+        ~col.rlike("[^\\x00-\\x7F]"), F.lower(F.translate(col, "_-.", "   "))
+    ).otherwise(bind(F.translate(col, source, target), expand))
 
 
 @F.pandas_udf(StringType())
@@ -274,14 +280,15 @@ def value_text(col: Column, data_type: str) -> Column:
     return col.cast("string")
 
 
-def first_rule(folded: Column, rules: Sequence, result) -> Column:
-    """The first rule, in order, whose pattern is found: a CASE ladder, so later rules are not run.
+def first_rule(folded: Column, rules: Sequence, result: Callable[..., Column]) -> Column:
+    """The first rule, in order, whose pattern is found; null without one.
 
-    Rules are a small parameter list, so they become part of the expression; no rule table is
-    joined and no (text, rule) pair is ever produced.
+    Rules are a small parameter list, so they become part of the expression: no rule table is joined
+    and no (text, rule) pair is ever produced. One test of all patterns together lets ordinary text
+    go at once.
     """
-    ladder = None
+    any_rule = "|".join(f"(?:{rule.pattern})" for rule in rules)
+    ladder = F.when(~folded.rlike(f"(?U){any_rule}"), F.lit(None))
     for rule in rules:
-        found = folded.rlike(f"(?U){rule.pattern}")
-        ladder = F.when(found, result(rule)) if ladder is None else ladder.when(found, result(rule))
+        ladder = ladder.when(folded.rlike(f"(?U){rule.pattern}"), result(rule))
     return ladder

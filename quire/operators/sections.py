@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire import values as V
-from quire.functions.text import LINE_WITH_BREAK, first_rule, fold_text, strip
+from quire.functions.text import LINE_WITH_BREAK, bind, first_rule, fold_text, strip
 
 PAGE = ("document_id", "page_number")
 
@@ -32,10 +32,10 @@ def heading_rule(
 ) -> Column:
     """The highest-priority rule a line matches; null for a long, blank or ordinary line."""
     ordered = sorted(rules, key=lambda rule: -rule.priority)
-    bare = strip(line)
-    return F.when(
-        F.length(bare).between(1, max_chars), first_rule(fold_text(bare), ordered, _rule_struct)
-    )
+    match = lambda folded: first_rule(folded, ordered, _rule_struct)
+    return bind(strip(line), lambda bare: F.when(
+        F.length(bare).between(1, max_chars), bind(fold_text(bare), match)
+    ))
 
 
 def split_lines(pages: DataFrame) -> DataFrame:
@@ -115,16 +115,13 @@ def best_heading(text: Column, rules: Sequence[V.HeadingRule] = V.HEADING_RULES)
         x["rule"]["confidence"].alias("confidence"),
     )))
     start = F.substring(strip(text), 1, V.MAX_HEADING_CHARS)
-    whole = heading_rule(start, rules)
-    first = F.get(ranked, F.lit(0))
-    return F.coalesce(
-        F.when(first.isNotNull(), F.struct(
-            first["section"].alias("section"), first["matched_text"].alias("matched_text"),
-            first["confidence"].alias("confidence"))),
-        F.when(whole.isNotNull(), F.struct(
-            whole["section"].alias("section"), start.alias("matched_text"),
-            whole["confidence"].alias("confidence"))),
-    )
+    heading = lambda section, matched, confidence: F.struct(
+        section.alias("section"), matched.alias("matched_text"), confidence.alias("confidence"))
+    whole = bind(heading_rule(start, rules), lambda rule: F.when(
+        rule.isNotNull(), heading(rule["section"], start, rule["confidence"])))
+    return bind(F.get(ranked, F.lit(0)), lambda first: F.when(
+        first.isNotNull(), heading(first["section"], first["matched_text"], first["confidence"])
+    ).otherwise(whole))
 
 
 def distinct_sections(text: Column, rules: Sequence[V.HeadingRule] = V.HEADING_RULES) -> Column:
@@ -202,13 +199,12 @@ def class_rule(
 
     The fields are scanned as one text, held apart by a character no rule can cross.
     """
-    return first_rule(
-        fold_text(F.concat_ws("\x00", *fields)), rules,
-        lambda rule: F.struct(
-            F.lit(rule.document_class).alias("document_class"),
-            F.lit(rule.confidence).alias("confidence"), F.lit(rule.name).alias("matched_pattern"),
-        ),
+    result = lambda rule: F.struct(
+        F.lit(rule.document_class).alias("document_class"),
+        F.lit(rule.confidence).alias("confidence"), F.lit(rule.name).alias("matched_pattern"),
     )
+    joined = F.concat_ws("\x00", *fields)
+    return bind(bind(joined, fold_text), lambda folded: first_rule(folded, rules, result))
 
 
 def metadata_class(metadata: Column) -> Column:
