@@ -13,13 +13,16 @@ from quire.operators import upserts as U
 def publish(state: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     """Upsert a batch and recompute parents and latest flags of the whole state.
 
-    The result depends on the set of rows only, not on their order of arrival.
+    The result depends on the set of rows only, not on their order of arrival: ``needs_review`` is
+    worked out anew and kept beside the stored status, so a late predecessor clears it.
     """
     merged = U.upsert_publications(state, batch, now)
     linked = L.link_predecessors(merged)
-    flagged = L.latest_leaf_flag(linked, L.lineage_closure(linked))
-    status = F.when(F.col("needs_review"), "NEEDS_REVIEW").otherwise(F.col("processing_status"))
-    return flagged.withColumn("processing_status", status)
+    return L.latest_leaf_flag(linked, L.lineage_closure(linked))
+
+
+def shown_status() -> Column:
+    return F.when(F.col("needs_review"), "NEEDS_REVIEW").otherwise(F.col("processing_status"))
 
 
 def store_attachments(

@@ -28,9 +28,10 @@ def stream_publications(stream: DataFrame, state_root: str, checkpoint: str, now
         fresh = U.publication_flags(batch).withColumn("seq", F.monotonically_increasing_id())
         state = read_snapshot(spark, state_root, before=batch_id)
         if state is None:
-            state = fresh.drop("seq").withColumn("root_id", F.col("id")).limit(0)
+            state = fresh.drop("seq").limit(0)
         merged = ingest_run.publish(state, fresh, now)
-        write_snapshot(merged.select(*state.columns), state_root, batch_id)
+        columns = dict.fromkeys([*state.columns, "needs_review"])
+        write_snapshot(merged.select(*columns), state_root, batch_id)
 
     return (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

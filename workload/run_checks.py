@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import cells as C
 from quire.operators import reconstruct as R
-from quire.plans import process_run, snapshots
+from quire.plans import ingest_run, process_run, snapshots
 from quire.session import new_shared_path
 from quire.streaming import streams
 from workload import views as v
@@ -70,7 +70,7 @@ def _(spark, d):
 @query(
     "table_intermediate_json",
     "v_cell v_table v_page",
-    TABLES + """ SELECT table_id, 1 AS part, count(*) AS n_cells, CAST(sum(length(raw_text)) AS BIGINT) AS n_chars, any_value(nr) AS n_rows, any_value(labels) AS labels, any_value(kinds) AS kinds FROM v_cell
+    TABLES + """ SELECT table_id, 1 AS part, count(*) AS n_cells, CAST(sum(length(raw_text)) AS BIGINT) AS n_chars, coalesce(any_value(nr), 0) AS n_rows, coalesce(any_value(labels), '') AS labels, coalesce(any_value(kinds), '') AS kinds FROM v_cell
       LEFT JOIN (SELECT table_id, count(*) AS nr, string_agg(label, '~' ORDER BY r) AS labels, string_agg(kind, '~' ORDER BY r) AS kinds FROM body GROUP BY table_id) USING (table_id) GROUP BY table_id
     UNION ALL SELECT table_id, 0, NULL, NULL, column_count, table_type, final_status FROM rebuilt""".replace("final_status FROM rebuilt", "status FROM rebuilt"),
 )
@@ -117,7 +117,8 @@ def _(spark, d):
     stream = spark.readStream.schema(pubs.schema).option("maxFilesPerTrigger", 1).parquet(feed)
     streams.stream_publications(stream, state, new_shared_path(spark, "progress"), now()).awaitTermination()
     return snapshots.read_snapshot(spark, state).select(
-        "id", "parent_publication_id", "is_latest_version", "processing_status"
+        "id", "parent_publication_id", "is_latest_version",
+        ingest_run.shown_status().alias("processing_status"),
     )
 
 
