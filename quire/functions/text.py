@@ -21,6 +21,7 @@ BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\
 BLANK_RUN = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
 # One line with its terminator, for every terminator Python's splitlines knows.
 _BREAKS = "\\n\\r\\x0B\\f\\x1C-\\x1E\\x85\\u2028\\u2029"
+LINE_BREAK = f"[{_BREAKS}]"
 LINE_WITH_BREAK = f"[^{_BREAKS}]*(?:\\r\\n|[{_BREAKS}])|[^{_BREAKS}]+"
 # Decimal digits plus the superscript, subscript and enclosed digits Python also calls digits.
 DIGIT = (

@@ -180,12 +180,22 @@ def corpus_coverage(items: DataFrame, targets: dict[tuple[str, str], int]) -> Da
 # --- joins over the stored tables ----------------------------------------------------------------
 
 
-def company_artifacts(artifacts: DataFrame, publications: DataFrame, company_id: object) -> DataFrame:
-    """Artifacts of one company, newest first."""
-    mine = publications.where(F.col("company_id") == company_id).select(
-        F.col("id").alias("publication_id")
+def company_artifacts(
+    artifacts: DataFrame, publications: DataFrame, company_id: object | None = None
+) -> DataFrame:
+    """Artifacts of one company, or of every company, newest first within each."""
+    owners = publications.select(F.col("id").alias("publication_id"), "company_id")
+    if company_id is not None:
+        owners = owners.where(F.col("company_id") == company_id)
+    return artifacts.join(owners, "publication_id").orderBy(
+        "company_id", F.desc("created_at"), F.desc("id")
     )
-    return artifacts.join(mine, "publication_id").orderBy(F.desc("created_at"), F.desc("id"))
+
+
+def company_documents_newest(publications: DataFrame, company_id: object | None = None) -> DataFrame:
+    """Publications newest first within each company; an unknown time comes first."""
+    mine = publications if company_id is None else lookup_one(publications, company_id=company_id)
+    return mine.orderBy("company_id", F.desc_nulls_first("published_at"))
 
 
 def newest_per_sha(df: DataFrame) -> DataFrame:

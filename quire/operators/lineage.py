@@ -72,7 +72,7 @@ def lineage_closure(edges: DataFrame, max_depth: int = 1 << 20) -> DataFrame:
             F.col("id").alias("ancestor"), F.col("ancestor").alias("next"),
             F.col("depth").alias("more"),
         ).where("more > 0")
-        moved = pointers.join(hop, "ancestor", "left")
+        moved = pointers.drop("moved").join(hop, "ancestor", "left")
         pointers = cut_lineage(
             moved.select(
                 "id", F.coalesce("next", "ancestor").alias("ancestor"),
@@ -82,9 +82,8 @@ def lineage_closure(edges: DataFrame, max_depth: int = 1 << 20) -> DataFrame:
         )
         if pointers.where("moved").isEmpty():
             break
-        pointers = pointers.drop("moved")
-    looping = F.col("moved") if "moved" in pointers.columns else F.lit(False)
-    stuck = looping | (F.col("ancestor") == F.col("id")) & (F.col("depth") > 0)
+    # Whatever still moves after so many rounds goes round a cycle.
+    stuck = F.col("moved")
     return pointers.select(
         "id", F.when(~stuck, F.col("ancestor")).alias("root_id"),
         F.when(~stuck, F.col("depth")).alias("depth"),

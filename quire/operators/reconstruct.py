@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quire import values as V
 from quire.functions import tables as T
-from quire.functions.text import strip
+from quire.functions.text import LINE_BREAK, strip
 from quire.operators.cells import carry_merged_header, column_span
 from quire.operators.sections import (
     best_heading,
@@ -65,11 +65,10 @@ def row_flags(rows: DataFrame) -> DataFrame:
         "n_amount": count(lambda x: x["digit"] & ~x["period"] & ~x["small"]),
     }).drop("looks")
     first = F.get(texts, F.lit(0))
-    title = (
-        heading_rule(joined).isNotNull()
-        | heading_rule(first).isNotNull()
-        | ((n == 1) & ~T.has_digit(first) & (F.length(first) >= 8))
-    )
+    counted = counted.withColumn("rule", F.when(n > 0, heading_rule(joined)))
+    lone = (n == 1) & ~T.has_digit(first) & (F.length(first) >= 8)
+    title = F.col("rule").isNotNull() | lone | F.when(
+        n > 1, heading_rule(first).isNotNull()).otherwise(False)
     period = (n > 0) & (F.col("n_period") >= F.greatest(F.lit(1), n - 1))
     third = F.greatest(F.lit(1), F.floor(n / 3))
     return counted.withColumns({
@@ -84,12 +83,17 @@ def row_flags(rows: DataFrame) -> DataFrame:
 
 def _text_digest(flagged: DataFrame) -> DataFrame:
     """Per table: unit text of its cells, best heading row, and the start of its text."""
-    spoken = flagged.where("n_visible > 0").select("table_id", "chunk", "row", "joined")
-    heading = F.filter(
+    spoken = flagged.where("n_visible > 0").select("table_id", "chunk", "row", "joined", "rule")
+    one_line = ~F.col("joined").rlike(LINE_BREAK)
+    headings = F.filter(
         F.transform(lines_with_breaks(F.col("joined")), lambda line, i: F.struct(
             heading_rule(line).alias("rule"), i.alias("line_no"), strip(line).alias("text"))),
         lambda x: x["rule"].isNotNull(),
     )
+    own = F.struct("rule", F.lit(0).alias("line_no"), F.col("joined").alias("text"))
+    # A row on one line was tested as a whole already.
+    heading = F.when(one_line, F.array_compact(F.array(F.when(F.col("rule").isNotNull(), own)))).otherwise(
+        headings)
     ranked = F.array_min(F.transform(heading, lambda x: F.struct(
         (-x["rule"]["priority"]).alias("rank"), F.col("row").alias("row"),
         x["line_no"].alias("line_no"), x["rule"]["section"].alias("section"),

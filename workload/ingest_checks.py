@@ -238,11 +238,11 @@ def _(spark, d):
 @query(
     "lookup_by_key",
     "v_pub",
-    "SELECT id, title FROM v_pub WHERE id % 11 = 0 AND source <> 'SRC2'",
+    "SELECT id, title FROM v_pub WHERE is_correction AND supersedes IS NOT NULL",
 )
 def _(spark, d):
     pubs = v.v_pub(spark, d)
-    keys = pubs.where("id % 11 = 0 AND source <> 'SRC2'").select("source", "source_document_id")
+    keys = pubs.where("is_correction AND supersedes IS NOT NULL").select("source", "source_document_id")
     return I.lookup_by_key(pubs, keys).select("id", "title")
 
 
@@ -397,10 +397,12 @@ def _(spark, d):
 @query(
     "company_artifacts",
     "v_art v_pub",
-    """SELECT a.id, a.publication_id, a.created_at FROM v_art a JOIN v_pub p ON p.id = a.publication_id WHERE p.company_id = 7""",
+    """SELECT p.company_id, a.id, a.publication_id, a.created_at FROM v_art a JOIN v_pub p ON p.id = a.publication_id""",
 )
 def _(spark, d):
-    return I.company_artifacts(v.v_art(spark, d), v.v_pub(spark, d), 7).select("id", "publication_id", "created_at")
+    return I.company_artifacts(v.v_art(spark, d), v.v_pub(spark, d)).select(
+        "company_id", "id", "publication_id", "created_at"
+    )
 
 
 def raw_objects(spark, d):
@@ -519,10 +521,9 @@ def _(spark, d):
     return I.corpus_coverage(items, TARGETS)
 
 
-@query("company_documents_newest", "v_pub", "SELECT id, company_id, published_at FROM v_pub WHERE company_id = 7")
+@query("company_documents_newest", "v_pub", "SELECT id, company_id, published_at FROM v_pub")
 def _(spark, d):
-    mine = I.lookup_one(v.v_pub(spark, d), company_id=7)
-    return mine.orderBy(F.desc_nulls_first("published_at")).select("id", "company_id", "published_at")
+    return I.company_documents_newest(v.v_pub(spark, d)).select("id", "company_id", "published_at")
 
 
 def legacy(spark, d):
