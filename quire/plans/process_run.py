@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -51,12 +52,15 @@ def process_pages(
     requests: DataFrame, pages: DataFrame, page_blocks: DataFrame, tables: DataFrame,
     cells: DataFrame, ocr_pages: DataFrame | None = None, raw_tables: DataFrame | None = None,
     raw_cells: DataFrame | None = None, raw_warnings: DataFrame | None = None,
+    classify: Callable[[DataFrame], DataFrame] = S.classify_documents,
+    reconstruct: Callable[..., R.Reconstruction] = R.reconstruct_tables,
 ) -> Processed:
     """OCR decision, class, sections, tables, blocks and status of every requested document.
 
     ``tables`` and ``cells`` are what was found in the documents; ``raw_tables`` and ``raw_cells``
     are bound sidecars, which replace a found table only where they cover it. Without ``ocr_pages``
-    no OCR engine is configured: a document that needs OCR says so and goes to review.
+    no OCR engine is configured: a document that needs OCR says so and goes to review. ``classify``
+    and ``reconstruct`` can be replaced.
     """
     wanted = requests.select("document_id")
     keep = lambda df: df.join(wanted, "document_id", "left_semi")
@@ -93,7 +97,7 @@ def process_pages(
             P.joined(F.collect_list(F.struct("part", "text_sample")), ("part",), "text_sample", "\n"),
             1, 4000).alias("text_sample"))
 
-    classes = S.classify_documents(requests.join(sample, "document_id", "left").select(
+    classes = classify(requests.join(sample, "document_id", "left").select(
         "document_id", "title", "filename", "text_sample",
         F.create_map(F.lit("document_type"), "document_type").alias("metadata"),
     ))
@@ -117,7 +121,7 @@ def process_pages(
     review = C.extraction_needs_review(tables, issues, raw_warnings)
     note(review.where("needs_review"), 4, F.lit("table_extraction_needs_review"))
 
-    rebuilt = R.reconstruct_tables(cells, tables, texts, S.section_hints(sections))
+    rebuilt = reconstruct(cells, tables, texts, S.section_hints(sections))
     note(rebuilt.tables.where("status = 'NEEDS_REVIEW'"), 5,
          F.concat(F.lit("table_reconstruction_needs_review:"), "table_id"), "page", "table_index")
 
