@@ -36,6 +36,12 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
 
 
+def computed_once(value: Column) -> Column:
+    """``value`` as a generated column: a filter on it is not pushed below, where it would be worked
+    out a second time."""
+    return F.explode(F.array(value))
+
+
 def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(BLANKS))
 

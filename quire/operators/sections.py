@@ -9,7 +9,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire import values as V
-from quire.functions.text import LINE_WITH_BREAK, bind, first_rule, fold_text, strip
+from quire.functions.text import (
+    LINE_WITH_BREAK,
+    bind,
+    computed_once,
+    first_rule,
+    fold_text,
+    strip,
+)
 
 PAGE = ("document_id", "page_number")
 
@@ -59,7 +66,9 @@ def match_headings(
     max_chars: int = V.MAX_HEADING_CHARS,
 ) -> DataFrame:
     """Lines that are headings, each with the one rule it matches."""
-    matched = lines.withColumn("rule", heading_rule(F.col("line"), rules, max_chars))
+    matched = lines.select(
+        "*", computed_once(heading_rule(F.col("line"), rules, max_chars)).alias("rule")
+    )
     return matched.where("rule IS NOT NULL").select(
         *lines.columns, F.col("rule.section"), F.col("rule.matched_rule"), F.col("rule.confidence"),
         F.col("rule.priority"),
@@ -84,7 +93,7 @@ def collect_section_hits(
     exploded. Offsets are summed for the hits only.
     """
     found = pages.select(
-        *PAGE, F.col("text"), _headings(F.col("text"), rules).alias("hits")
+        *PAGE, F.col("text"), computed_once(_headings(F.col("text"), rules)).alias("hits")
     ).where(F.size("hits") > 0)
     hits = F.col("hits")
     if one_hit_per_section:
@@ -132,9 +141,9 @@ def sheet_section_hits(
     sheets: DataFrame, rules: Sequence[V.HeadingRule] = V.HEADING_RULES
 ) -> DataFrame:
     """Sheet names read as headings; the first sheet of each section in the workbook."""
-    named = sheets.withColumn("rule", heading_rule(F.col("sheet_name"), rules)).where(
-        "rule IS NOT NULL"
-    )
+    named = sheets.select(
+        "*", computed_once(heading_rule(F.col("sheet_name"), rules)).alias("rule")
+    ).where("rule IS NOT NULL")
     first = F.min(F.struct("sheet_index", "sheet_name", "rule")).alias("first")
     return named.groupBy("document_id", F.col("rule.section").alias("section")).agg(first).select(
         "document_id", "section", F.col("first.rule.matched_rule").alias("matched_rule"),

@@ -34,10 +34,12 @@ def extract_disclosure_cards(
         "page_id", F.posexplode(F.slice(F.split(marked, _MARK), 2, 1 << 30)).alias("card_no", "card")
     )
     links = F.regexp_extract_all("card", F.lit(f"(?i){link_pattern}"), F.lit(1))
-    found = cards.select(
-        "page_id", "card_no",
+    fields = F.struct(
         X.strip(F.regexp_extract("card", f"(?i)^{title_pattern}", 1)).alias("title"),
         X.parse_us_date(F.col("card")).alias("updated_date"), links.alias("links"),
+    )
+    found = cards.select("page_id", "card_no", X.computed_once(fields).alias("f")).select(
+        "page_id", "card_no", "f.*"
     ).where("updated_date IS NOT NULL AND size(links) > 0")
     title = F.col("title")
     return found.select(
