@@ -1,4 +1,4 @@
 """Loads every module that registers queries."""
 
-from quire.llm import token_counts  # noqa: F401
+from quire.llm import piece_encoding, token_counts, token_files  # noqa: F401
 from quire.llm.registry import ORACLES, QUERIES  # noqa: F401
