@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -13,11 +12,12 @@ import public_tokenizers
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 from tokenizers import Tokenizer
 
-from quire.llm.common import table, written
+from quire.llm.common import table
 from quire.llm.registry import query
 from quire.session import new_shared_path
 
@@ -79,18 +79,6 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def encoded(text: Column, path: str, end_id: int = END_ID) -> Column:
-    """Each text's ids with ``end_id`` after them, as little-endian 32-bit bytes. Null is as an empty text."""
-
-    @F.arrow_udf("binary")
-    def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            yield pa.array([encode(t.as_py()) + end for t in batch], pa.binary())
-
-    return encode_texts(F.coalesce(text, F.lit("")))
-
-
 def to_planes(ids: np.ndarray, kind: str = "byte") -> list[bytes]:
     """Four byte planes or 32 bit planes of the ids, lowest first."""
     octets = ids.astype("<u4").view("u1").reshape(-1, 4)
@@ -106,7 +94,18 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     return np.packbits(bits.T, axis=1, bitorder="little").reshape(-1).view("<u4")
 
 
-FILE_SCHEMA = "part int, block long, n_ids int, doc_ids array<long>, n_tokens array<long>, planes array<binary>"
+FILE_SCHEMA = (
+    "part int, block long, n_ids int, lead int, lead_block long, doc_ids array<long>, n_tokens array<long>, "
+    "planes array<binary>"
+)
+PIECE_SCHEMA = "part int, block long, place int, doc_id long, n_tokens long, within long, piece long, length int, crc long"
+_INT, _LONG = pa.int32(), pa.int64()
+FILE = pa.schema(zip(
+    ("part", "block", "n_ids", "lead", "lead_block", "doc_ids", "n_tokens", "planes"),
+    (_INT, _LONG, _INT, _INT, _LONG, pa.list_(_LONG), pa.list_(_LONG), pa.list_(pa.binary()))))
+PIECE = pa.schema(zip(
+    ("part", "block", "place", "doc_id", "n_tokens", "within", "piece", "length", "crc"),
+    (_INT, _LONG, _INT, _LONG, _LONG, _LONG, _LONG, _INT, _LONG)))
 
 
 def write_token_files(
@@ -114,46 +113,81 @@ def write_token_files(
 ) -> None:
     """Encode ``docs`` (doc_id, text) and write the ids in ascending doc_id order to ``path``.
 
-    Documents are dealt by range of doc_id into parts; a part's ids run on from document to document and
-    are cut into blocks of ``block_ids``. A row of the files is a block: part and block number, its ids'
-    planes, each a zstandard frame, and the doc_id and length of each document that starts in it: the
-    index by which a block or a document is found without reading the rest. Null ids come last; rows that
-    share an id are in any, but a fixed, order, and are dealt apart by a tie-breaking number.
+    Documents are dealt by range of doc_id into parts; a part's ids run on from document to document, each
+    with ``end_id`` after it, and are cut into blocks of ``block_ids``. A row of the files is a block: part
+    and block number; its ids' planes, each a zstandard frame; the doc_id and length of each document that
+    starts in it; and how many ids at its start (``lead``) belong to a document that started in an earlier
+    block (``lead_block``). By this index a block or a document is found without reading the rest.
+
+    A null text is empty and has the end id only. Null ids come last. Rows that share an id follow each other
+    in a fixed order; a tie-breaking number lets their range be cut too.
     """
-    ids = written(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), encoded(F.col("text"), tokenizer, end_id).alias("ids"),
-                    F.rand(17).alias("tie")), "token-ids")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col("doc_id").asc_nulls_last(), F.col("tie")]
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                        F.rand(17).alias("tie")).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block, compress = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=LEVEL).compress
-        pending, doc_ids, lengths = bytearray(), [], []
+        compress, encode = zstandard.ZstdCompressor(level=LEVEL).compress, encoder(tokenizer).encode
+        part, block, end, size = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes(), 4 * block_ids
+        pending, doc_ids, lengths, lead, lead_block = bytearray(), [], [], 0, -1
 
         def block_row(data: bytes) -> pa.RecordBatch:
             planes = [compress(p) for p in to_planes(np.frombuffer(data, "<u4"), plane)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([block], pa.int64()), pa.array([len(data) // 4], pa.int32()),
-                 pa.array([doc_ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
-                 pa.array([planes], pa.list_(pa.binary()))],
-                ["part", "block", "n_ids", "doc_ids", "n_tokens", "planes"])
+            values = part, block, len(data) // 4, lead, lead_block, doc_ids, lengths, planes
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, FILE)], schema=FILE)
 
         for batch in batches:
-            for doc_id, data in zip(batch.column(0), batch.column(1)):
-                data = data.as_buffer()
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                data = encode(text.as_py()) + end
                 doc_ids.append(doc_id.as_py())
-                lengths.append(data.size // 4)
-                for at in range(0, data.size, 4 * block_ids):
-                    pending += memoryview(data)[at:at + 4 * block_ids]
-                    if len(pending) >= 4 * block_ids:
-                        yield block_row(bytes(pending[:4 * block_ids]))
-                        del pending[:4 * block_ids]
+                lengths.append(len(data) // 4)
+                left, started = len(data), block
+                for at in range(0, len(data), size):
+                    pending += data[at:at + size]
+                    left -= min(size, len(data) - at)
+                    if len(pending) >= size:
+                        yield block_row(bytes(pending[:size]))
+                        del pending[:size]
+                        more = left + len(pending)
                         block, doc_ids, lengths = block + 1, [], []
+                        lead, lead_block = (min(more, size) // 4, started) if more else (0, -1)
         if pending:
             yield block_row(bytes(pending))
 
-    (ids.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("doc_id", "ids")
-     .mapInArrow(pack, FILE_SCHEMA).write.parquet(path))
+    dealt.select("doc_id", "text").mapInArrow(pack, FILE_SCHEMA).write.parquet(path)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents' pieces in each block: (block and place there of the document's start, ..., checksum)."""
+    expand = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for row in batch.to_pylist():
+            data = from_planes([expand(p) for p in row["planes"]], row["n_ids"]).tobytes()
+            part, block, at = row["part"], row["block"], row["lead"]
+            found = [(part, row["lead_block"], -1, None, None, None, block, at, zlib.crc32(data[:4 * at]))] if at else []
+            last = len(row["doc_ids"]) - 1
+            for place, (doc_id, n) in enumerate(zip(row["doc_ids"], row["n_tokens"])):
+                piece = data[4 * at:4 * (at + n)]
+                # Only the last document that starts in a block can go on after it; it has place -1.
+                found.append((part, block, -1 if place == last else place, doc_id, n, at, block, len(piece) // 4,
+                              zlib.crc32(piece)))
+                at += n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*found), PIECE)], schema=PIECE)
+
+
+@F.arrow_udf(LongType())
+def crc_of_pieces(pieces: pa.Array) -> pa.Array:
+    """The checksum of the pieces (piece, length, crc) in a row: what came before is carried over zeros."""
+    sums = []
+    for row in pieces.to_pylist():
+        crc = row[0]["crc"]
+        for piece in row[1:]:
+            zeros = bytes(4 * piece["length"])
+            crc = zlib.crc32(zeros, crc) ^ zlib.crc32(zeros) ^ piece["crc"]
+        sums.append(crc)
+    return pa.array(sums, pa.int64())
 
 
 def part_starts(files: DataFrame) -> DataFrame:
@@ -163,43 +197,20 @@ def part_starts(files: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("first"))
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files at ``path``.
 
     ``start`` counts the ids of all documents before it; the checksum is over its ids as stored, little-endian
-    32-bit. A part's blocks are decoded one after the other, so memory holds a block, not a part.
+    32-bit. Each block is decoded by itself; the checksums of a document's pieces are joined afterwards.
     """
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand, part, at, waiting, left, crc = zstandard.ZstdDecompressor().decompress, None, 0, deque(), 0, 0
-        for batch in batches:
-            done = []
-            for row in batch.to_pylist():
-                if row["part"] != part:
-                    part, at, waiting, left = row["part"], 0, deque(), 0
-                waiting += zip(row["doc_ids"], row["n_tokens"])
-                data = from_planes([expand(p) for p in row["planes"]], row["n_ids"]).tobytes()
-                place = 0
-                while waiting and place < len(data):
-                    if not left:
-                        left, crc = waiting[0][1], 0
-                    piece = data[place:place + 4 * left]
-                    crc, left, place = zlib.crc32(piece, crc), left - len(piece) // 4, place + len(piece)
-                    if not left:
-                        doc_id, n = waiting.popleft()
-                        done.append((part, doc_id, at, n, crc))
-                        at += n
-            columns = list(zip(*done)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.int32(), *[pa.int64()] * 4))],
-                ["part", "doc_id", "within", "n_tokens", "ids_crc32"])
-
-    docs = (files.repartition(parts, "part").sortWithinPartitions("part", "block")
-            .mapInArrow(unpack, "part int, doc_id long, within long, n_tokens long, ids_crc32 long"))
+    pieces = files.mapInArrow(_pieces, PIECE_SCHEMA)
+    docs = pieces.groupBy("part", "block", "place").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.max("within").alias("within"),
+        F.array_sort(F.collect_list(F.struct("piece", "length", "crc"))).alias("pieces"))
     return docs.join(part_starts(files), "part").select(
-        "doc_id", (F.col("first") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
+        "doc_id", (F.col("first") + F.col("block") * block_ids + F.col("within")).alias("start"), "n_tokens",
+        crc_of_pieces("pieces").alias("ids_crc32"))
 
 
 @query("op7_token_files")
