@@ -50,12 +50,12 @@ def running_start(
     group, order = list(group), list(order)
     totals = df.groupBy(*group, bucket).agg(F.sum(weight).alias("_total"))
     over_group = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*group, bucket, F.coalesce(F.sum("_total").over(over_group), F.lit(0)).alias("_base"))
+    totals = totals.select(*group, bucket, F.coalesce(F.sum("_total").over(over_group), F.lit(0)).alias("_ahead"))
     inner = Window.partitionBy(*group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         df.join(totals, [*group, bucket])
-        .withColumn(name, F.col("_base") + F.coalesce(F.sum(weight).over(inner), F.lit(0)))
-        .drop("_base")
+        .withColumn(name, F.col("_ahead") + F.coalesce(F.sum(weight).over(inner), F.lit(0)))
+        .drop("_ahead")
     )
 
 
