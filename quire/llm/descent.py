@@ -21,6 +21,7 @@ PROPOSED = 4  # neighbours that a local join proposes to a member whose list isn
 TABLES, BUCKET = 6, 64
 AUDITED, TARGET_RECALL, MOST_ROUNDS = 512, 0.99, 8
 BLOCK = 512
+HALF_ERROR = 0.003  # half precision moves a cosine by less
 
 
 def unit(label: Column, vector: Column) -> Column:
@@ -213,11 +214,6 @@ def _verify(left: list[tuple], right: list[tuple]) -> Iterator[tuple]:
         yield nodes[i], nodes[roots.get(int(i), int(i))], int(links[i])
 
 
-def _near_threshold(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Edges of the graph that may be links; half precision moves a cosine by less than the margin."""
-    return edges.where(F.col("score") >= THRESHOLD - 0.003).select(F.col("node").alias("a"), F.col("near").alias("b"))
-
-
 def vector_links(vectors: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding, label).
 
@@ -235,7 +231,8 @@ def vector_links(vectors: DataFrame) -> DataFrame:
     vertices = written(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn(
         "half", _half(F.col("unit"))), "vector-nodes")
     graph = neighbour_graph(vertices.select("node", "label", "unit", "half"))
-    groups = components(_near_threshold(graph, vertices), "vector-groups")
+    near = graph.where(F.col("score") >= THRESHOLD - HALF_ERROR)
+    groups = components(near.select(F.col("node").alias("a"), F.col("near").alias("b")), "vector-groups")
     members = groups.join(vertices.select("node", "rows", "unit"), "node")
     verified = written(by_pair(
         in_blocks(members, "component", "node", BLOCK).select("pair", "side", "node", "rows", "unit"), _verify,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, running_start, table, tied, written
+from quire.llm.common import WORD, row_key, running_start, table, tied, written
 from quire.llm.registry import query
 
 WEIGHTS = (5, 2, 1)
@@ -106,6 +106,17 @@ def copies_of(docs: DataFrame, rate: str) -> DataFrame:
         "_unit", "_base", "_part", "_class", "_bucket", "_start")
 
 
+def rated_copies(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
+    """``sizes`` (doc_id, size, key, ...) with source_size, target, rate and copies."""
+    targets = written(capped_targets(sizes.groupBy("key").agg(F.sum("size").alias("source_size")), weights, most),
+                      "mix-targets")
+    tilt = entropy_balance(sizes.select("key", F.col("size").alias("mass")), {"key": targets.select("key", "target")})
+    rates = targets.join(tilt["key"], "key").select(
+        "key", F.col("source_size").cast("long").alias("source_size"), "target",
+        F.least(F.round(F.coalesce(F.exp("multiplier"), F.lit(0.0)), 9), F.lit(most)).alias("rate"))
+    return copies_of(sizes.join(rates, "key"), "rate")
+
+
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, rate) per row of ``docs`` (doc_id, text, source).
 
@@ -115,15 +126,21 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: flo
     """
     sizes = written(docs.select("doc_id", word_count(F.col("text")).alias("size"),
                                 source_key(F.col("source")).alias("key")), "mix-sizes")
-    targets = written(capped_targets(sizes.groupBy("key").agg(F.sum("size").alias("source_size")), weights, most),
-                      "mix-targets")
-    tilt = entropy_balance(sizes.select("key", F.col("size").alias("mass")), {"key": targets.select("key", "target")})
-    rates = targets.join(tilt["key"], "key").select(
-        "key", "source_size", "target",
-        F.least(F.round(F.coalesce(F.exp("multiplier"), F.lit(0.0)), 9), F.lit(most)).alias("rate"))
-    mixed = copies_of(sizes.join(rates, "key"), "rate")
-    return mixed.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target",
-                        (F.col("size") * F.col("copies")).alias("taken"), "copies", "rate")
+    return rated_copies(sizes, weights, most).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "rate")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it. Rows without a word have no part in the mix and go.
+
+    Texts are shuffled once, by a key of id and text; rows that agree in both share out their copies.
+    """
+    sizes = written(docs.select("doc_id", word_count(F.col("text")).alias("size"), source_key(F.col("source")).alias("key"),
+                                row_key(docs).alias("row")), "mix-sizes")
+    copies = rated_copies(sizes, weights, most).where("size > 0").groupBy("row").agg(F.sum("copies").alias("copies"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), row_key(docs).alias("row"))
+    taken = rows.groupBy("row").agg(F.first("doc").alias("doc")).join(copies.where("copies > 0"), "row")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 
 #: The level is found by trying each source as the first that stays below its bound.

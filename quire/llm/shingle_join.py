@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.blocks import by_pair, in_blocks, spanning, square
-from quire.llm.common import WORD, Memo, components, table, written
+from quire.llm.common import WORD, Memo, components, row_key, table, written
 from quire.llm.registry import query
 
 WORDS, THRESHOLD = 5, 0.8
@@ -77,12 +77,6 @@ def sketch(text: Column) -> Column:
     return sketch_texts(text)
 
 
-def row_key(docs: DataFrame) -> Column:
-    """Names a row by id and text; rows that agree in both are interchangeable."""
-    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")),
-                       F.hex(F.xxhash64(F.coalesce("text", F.lit("")))))
-
-
 def found_at(similarity: np.ndarray, depth: int) -> np.ndarray:
     """The chance that two sets share a prefix of ``depth`` values in a tree of the forest at least."""
     return 1 - (1 - similarity ** depth) ** TREES
