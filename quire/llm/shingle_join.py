@@ -131,7 +131,7 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
 
 
 def shared_counts(own: list[np.ndarray], others: list[np.ndarray] | None) -> np.ndarray:
-    """Numbers of common values of each two sets, by products of blocks of their incidence matrix."""
+    """Numbers of common values of each two different sets, by products of blocks of their incidence matrix."""
     sets = own + (others or [])
     rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values, places, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
