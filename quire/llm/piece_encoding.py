@@ -261,29 +261,6 @@ def bos_eos(path: str) -> tuple[bytes, bytes]:
     return struct.pack("<I", model.bos_id()), struct.pack("<I", model.eos_id())
 
 
-def encoded(text: Column, path: str) -> Column:
-    """struct(ids, ends): begin id, pieces and end id, and the byte in the text where each of them ends.
-
-    A piece's bytes start where the piece before it ends. Null is as an empty text.
-    """
-
-    @F.arrow_udf("struct<ids:array<int>,ends:array<long>>")
-    def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode, (begin, end) = encoder(path).encode, bos_eos(path)
-        for batch in batches:
-            found = [encode(t.as_py()) for t in batch]
-            ids = [begin + e.ids + end for e in found]
-            offsets = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype("i4")
-            ends = [np.cumsum(np.frombuffer(b"\0" * 4 + e.sizes + b"\0" * 4, "<u4"), dtype="i8") for e in found]
-            flat = np.frombuffer(b"".join(ids), "<i4")
-            yield pa.StructArray.from_arrays(
-                [pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32())),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*ends, np.empty(0, "i8")]), pa.int64()))],
-                ["ids", "ends"])
-
-    return encode_texts(F.coalesce(text, F.lit("")))
-
-
 def round_trip(text: Column, path: str) -> Column:
     """struct(n_tokens, ids_sha256, decoded_sha256, covered): digests of the ids and of their decoding.
 
@@ -310,9 +287,45 @@ def round_trip(text: Column, path: str) -> Column:
     return digest_texts(F.coalesce(text, F.lit("")))
 
 
+IDS_AT_ONCE = 1 << 20
+
+
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, ends) per row of ``docs``; see ``encoded``. Ids may be null or repeated."""
-    return docs.select("doc_id", encoded(F.col("text"), path).alias("e")).select("doc_id", "e.ids", "e.ends")
+    """(doc_id, ids, ends) per row of ``docs``: begin id, pieces and end id, and where each ends in the text.
+
+    ``ends`` are bytes; a piece's bytes start where the piece before it ends. A null text is empty. Ids may be
+    null or repeated. Rows are handed on as soon as ``IDS_AT_ONCE`` pieces are together, so memory doesn't
+    grow with the texts of a batch.
+    """
+
+    def encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, (begin, end) = encoder(path).encode, bos_eos(path)
+        ids, ends, lengths = [], [], []
+
+        def flush(doc_ids: pa.Array) -> pa.RecordBatch:
+            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+            columns = [pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(parts), "<i4")))
+                       for parts in (ids, ends)]
+            for parts in (ids, ends, lengths):
+                parts.clear()
+            return pa.RecordBatch.from_arrays([doc_ids, *columns], ["doc_id", "ids", "ends"])
+
+        for batch in batches:
+            start = together = 0
+            for i, text in enumerate(batch.column(1)):
+                found = encode(text.as_py())
+                sizes = np.frombuffer(b"\0" * 4 + found.sizes + b"\0" * 4, "<u4")
+                ids.append(begin + found.ids + end)
+                ends.append(np.cumsum(sizes, dtype="<i4").tobytes())
+                lengths.append(len(sizes))
+                together += len(sizes)
+                if together >= IDS_AT_ONCE or i == batch.num_rows - 1:
+                    yield flush(batch.column(0).slice(start, i + 1 - start))
+                    start, together = i + 1, 0
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+        encode_rows, f"doc_id {kind}, ids array<int>, ends array<int>")
 
 
 def piece_digests(docs: DataFrame, path: str) -> DataFrame:
