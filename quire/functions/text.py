@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import html as _html
+import json
 import unicodedata
 from collections.abc import Callable, Sequence
 from functools import cache
+from html import entities as _entities
 
 import pandas as pd
 from pyspark.sql import Column
@@ -210,45 +212,61 @@ def map_document_type(title: Column) -> Column:
     )
 
 
-# Named entities resolved in the JVM; the ampersand comes last so that one pass is one pass.
-_ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0", "copy": "©", "reg": "®",
-    "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“",
-    "rdquo": "”", "bull": "•", "middot": "·", "euro": "€",
+# Entities are resolved in the JVM from the standard library's HTML5 tables.
+_LONGEST_BARE = max(len(name) for name in _entities.html5 if not name.endswith(";"))
+_CONTROLS = {  # numeric references that stand for something else than their number
+    0x00: "\ufffd", 0x0D: "\r",
+    **{code: bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(0x80, 0xA0)},
 }
 
 
+def _char_map(pairs: dict) -> Column:
+    """A constant map; as one literal it costs the plan a line, not thousands of expressions."""
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
+
+
 def _numeric_entity(part: Column) -> Column:
-    """Text after '&#': the character it names followed by the rest, or the text unchanged."""
-    decimal = F.regexp_extract(part, "^([0-9]{1,7});", 1)
-    hexa = F.regexp_extract(part, "^[xX]([0-9a-fA-F]{1,6});", 1)
-    code = F.when(decimal != "", decimal.cast("int")).when(
-        hexa != "", F.conv(hexa, 16, 10).cast("int")
+    """Text after '&' that starts with '#' and digits: what they stand for, then the rest."""
+    decimal = F.regexp_extract(part, "^#([0-9]+);?", 1)
+    hexa = F.regexp_extract(part, "^#[xX]([0-9a-fA-F]+);?", 1)
+    digits = F.when(decimal != "", F.ltrim(decimal, F.lit("0"))).otherwise(F.ltrim(hexa, F.lit("0")))
+    number = F.when(digits == "", F.lit(0)).when(F.length(digits) > 8, F.lit(0x7FFFFFFF)).otherwise(
+        F.when(decimal != "", digits.cast("bigint")).otherwise(F.conv(digits, 16, 10).cast("bigint")))
+    rest = F.regexp_replace(part, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
+    nothing = (number < 9) | (number == 11) | number.between(14, 31) | number.between(0x7F, 0x9F) | (
+        number.between(0xFDD0, 0xFDEF)) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    char = (
+        F.when((number > 0x10FFFF) | number.between(0xD800, 0xDFFF), "\ufffd")
+        .otherwise(F.coalesce(
+            F.try_element_at(_char_map(_CONTROLS), number.cast("string")),
+            F.when(nothing, "").otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))))
     )
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    rest = F.regexp_replace(part, "^(?:[0-9]+|[xX][0-9a-fA-F]+);", "")
-    return F.when(code.isNull() | (code == 38) | (code < 32) | (code > 0x10FFFF),
-                  F.concat(F.lit("&#"), part)).otherwise(F.concat(char, rest))
+    return F.when((decimal == "") & (hexa == ""), F.concat(F.lit("&"), part)).otherwise(F.concat(char, rest))
+
+
+def _named_entity(part: Column) -> Column:
+    """Text after '&': a name with its semicolon, else the longest bare name that it starts with."""
+    full = {name: char for name, char in _entities.html5.items() if name.endswith(";")}
+    bare = {name: char for name, char in _entities.html5.items() if not name.endswith(";")}
+    known = _char_map(full)
+    name = F.regexp_extract(part, "^([^\t\n\f <&#;]{1,32};)", 1)
+    stem = F.regexp_extract(part, "^([^\t\n\f <&#;]{1,32})", 1)
+    found = F.when(name != "", F.concat(F.try_element_at(known, name), F.substring(part, F.length(name) + 1, 1 << 30)))
+    table = _char_map(bare)
+    shorter = [
+        F.when(F.length(stem) >= n, F.concat(F.try_element_at(table, F.substring(part, 1, n)),
+                                             F.substring(part, n + 1, 1 << 30)))
+        for n in range(_LONGEST_BARE, 1, -1)
+    ]
+    return F.coalesce(found, *shorter, F.concat(F.lit("&"), part))
 
 
 def html_clean(col: Column) -> Column:
-    """Drop ``<!-- -->`` markers and unescape entities.
-
-    Numeric entities and the usual named ones stay in the JVM; `html_clean_exact` knows the whole
-    HTML5 list.
-    """
+    """Drop ``<!-- -->`` markers and unescape entities, once, as HTML5 does."""
     text = F.replace(col, F.lit("<!-- -->"), F.lit(""))
-    numeric = F.array_join(
-        F.transform(F.split(text, "&#"), lambda p, i: F.when(i == 0, p).otherwise(_numeric_entity(p))),
-        "",
-    )
-    text = F.when(text.contains("&#"), numeric).otherwise(text)
-    named = text
-    for name, char in _ENTITIES.items():
-        named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
-    for ampersand in ("&#38;", "&amp;"):
-        named = F.replace(named, F.lit(ampersand), F.lit("&"))
-    return F.when(text.contains("&"), named).otherwise(text)
+    unescaped = F.array_join(F.transform(F.split(text, "&"), lambda p, i: F.when(i == 0, p).when(
+        p.startswith("#"), _numeric_entity(p)).otherwise(_named_entity(p))), "")
+    return F.when(text.contains("&"), unescaped).otherwise(text)
 
 
 @F.pandas_udf(StringType())
@@ -272,6 +290,12 @@ def fixture_slug(filename: Column, sha256: Column) -> Column:
     return F.concat_ws("_", F.substring(safe, 1, 80), F.substring(sha256, 1, 12))
 
 
+@F.pandas_udf(StringType())
+def _float_text(values: pd.Series) -> pd.Series:
+    """Shortest text that reads back as the same number; Spark's own has another form."""
+    return values.astype(object).map(lambda v: None if v is None or v != v else repr(float(v)), na_action="ignore")
+
+
 def value_text(col: Column, data_type: str) -> Column:
     """Stable text of a sheet value by its Spark type name."""
     if data_type == "boolean":
@@ -282,6 +306,8 @@ def value_text(col: Column, data_type: str) -> Column:
         return F.regexp_replace(
             F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "\\.000000$", ""
         )
+    if data_type in ("double", "float"):
+        return _float_text(col.cast("double"))
     if data_type == "binary":
         return F.make_valid_utf8(col.cast("string"))
     return col.cast("string")
@@ -294,8 +320,13 @@ def first_rule(folded: Column, rules: Sequence, result: Callable[..., Column]) -
     and no (text, rule) pair is ever produced. One test of all patterns together lets ordinary text
     go at once.
     """
+    return first_matching(lambda pattern: folded.rlike(pattern), rules, result)
+
+
+def first_matching(matches: Callable[[str], Column], rules: Sequence, result: Callable[..., Column]) -> Column:
+    """The first rule that ``matches``. Patterns find either case, as rules may be written in either."""
     any_rule = "|".join(f"(?:{rule.pattern})" for rule in rules)
-    ladder = F.when(~folded.rlike(f"(?U){any_rule}"), F.lit(None))
+    ladder = F.when(~matches(f"(?iU){any_rule}"), F.lit(None))
     for rule in rules:
-        ladder = ladder.when(folded.rlike(f"(?U){rule.pattern}"), result(rule))
+        ladder = ladder.when(matches(f"(?iU){rule.pattern}"), result(rule))
     return ladder

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,18 +24,24 @@ def _between(day: Column, start: str | None, end: str | None) -> Column:
 
 def discover(
     publications: DataFrame, ticker: str | None = None, start: str | None = None,
-    end: str | None = None,
+    end: str | None = None, stored_upper: bool = False,
 ) -> DataFrame:
     """Publications of a ticker, any case, in an inclusive date range.
 
-    An ISO text time counts with the date written in it, which is the date at its own offset.
+    An ISO text time counts with the date written in it, which is the date at its own offset. The range
+    is compared with the stored column itself, so the scan skips what lies outside. With
+    ``stored_upper`` tickers are known to be stored in upper case and are compared as they are.
     """
-    if publications.schema["published_at"].dataType.simpleString() == "string":
-        day = F.to_date(F.substring("published_at", 1, 10))
-    else:
-        day = F.to_date("published_at")
-    found = publications.where(_between(day, start, end))
-    return found if ticker is None else found.where(F.upper("ticker") == ticker.upper())
+    kind = publications.schema["published_at"].dataType.simpleString()
+    bound = (lambda day: F.lit(str(day))) if kind == "string" else (lambda day: F.lit(str(day)).cast(kind))
+    published, found = F.col("published_at"), publications
+    if start:
+        found = found.where(published >= bound(date.fromisoformat(start)))
+    if end:
+        found = found.where(published < bound(date.fromisoformat(end) + timedelta(days=1)))
+    if ticker is None:
+        return found
+    return found.where((F.col("ticker") if stored_upper else F.upper("ticker")) == ticker.upper())
 
 
 def discover_by_update_date(
@@ -193,9 +200,9 @@ def company_artifacts(
 
 
 def company_documents_newest(publications: DataFrame, company_id: object | None = None) -> DataFrame:
-    """Publications newest first within each company; an unknown time comes first."""
+    """Publications newest first within each company; an unknown time comes first, ties by id."""
     mine = publications if company_id is None else lookup_one(publications, company_id=company_id)
-    return mine.orderBy("company_id", F.desc_nulls_first("published_at"))
+    return mine.orderBy("company_id", F.desc_nulls_first("published_at"), F.desc("id"))
 
 
 def newest_per_sha(df: DataFrame) -> DataFrame:
@@ -326,7 +333,8 @@ def check_block_rows(blocks: DataFrame) -> DataFrame:
         bbox_order=(F.col("bbox_x1") < F.col("bbox_x0")) | (F.col("bbox_y1") < F.col("bbox_y0")),
         bbox_partial=missing.between(1, 3),
         block_index=F.col("block_index") < 0,
-        content=F.col("content").isNull() | ~F.col("content").rlike("(?s)^\\s*\\{.*\\}\\s*$"),
+        content=~F.coalesce(
+            F.schema_of_variant(F.try_parse_json("content")).startswith("OBJECT"), F.lit(False)),
     ))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,13 +24,21 @@ def resolve_version(batch: DataFrame, state: DataFrame) -> DataFrame:
         .otherwise("NEW_DOCUMENT")
     )
     return (
-        batch.join(known, ["source", "source_document_id"], "left")
-        .join(parents, ["source", "supersedes"], "left")
+        _with_parents(batch.join(known, ["source", "source_document_id"], "left"), parents, "parent_id")
         .withColumn("resolution", resolution)
         .withColumn("parent_id", F.when(~duplicate, F.col("parent_id")))
     )
 
 
+def _with_parents(df: DataFrame, parents: DataFrame, name: str) -> DataFrame:
+    """``df`` with the parent of its (source, supersedes). Rows that name none skip the join: as one key
+    they would be most of the data in one task."""
+    names_one = F.col("supersedes").isNotNull()
+    joined = df.where(names_one).join(parents, ["source", "supersedes"], "left")
+    without = df.where(~names_one).withColumn(name, F.lit(None).cast(parents.schema[name].dataType))
+    return joined.unionByName(without)
+
+
 def link_predecessors(batch: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """Parent id of every batch row: the superseded row of the batch, else of the state.
 
@@ -46,56 +53,62 @@ def link_predecessors(batch: DataFrame, state: DataFrame | None = None) -> DataF
     parents = keys.groupBy("source", F.col("source_document_id").alias("supersedes")).agg(
         F.min_by("id", F.struct("rank", "id")).alias("parent_publication_id")
     )
-    linked = batch.drop("parent_publication_id").join(parents, ["source", "supersedes"], "left")
+    linked = _with_parents(batch.drop("parent_publication_id"), parents, "parent_publication_id")
     unresolved = F.col("parent_publication_id").isNull() & (
         F.col("supersedes").isNotNull() | F.col("is_correction")
     )
     return linked.withColumn("needs_review", unresolved)
 
 
-def lineage_closure(edges: DataFrame, max_depth: int = 1 << 20) -> DataFrame:
+def lineage_closure(edges: DataFrame) -> DataFrame:
     """Root and depth of every node of a parent forest, from (id, parent_publication_id).
 
     Pointer jumping: each round doubles the distance a pointer covers, so a chain of depth n takes
-    log2(n) joins. Nodes that already point to a root leave the loop. Each round is checkpointed
-    reliably. Nodes on, or below, a cycle never reach a root: they come out with a null root.
+    log2(n) rounds. Rows that have reached a root leave the loop; only the others are joined and
+    checkpointed again. The nodes above one that takes long are reached in earlier rounds, so a round
+    that reaches none proves that the rest goes round a cycle, or hangs on one: null root. A parent
+    that has no row is a root.
     """
     parent = F.col("parent_publication_id")
-    start = edges.select(
-        "id", F.coalesce(parent, F.col("id")).alias("ancestor"),
-        F.when(parent.isNull(), 0).otherwise(1).cast("bigint").alias("depth"),
-    )
-    pointers = cut_lineage(start)
-    # A pointer is final once it covers nothing more: it points to a root.
-    for _ in range(math.ceil(math.log2(max_depth)) + 1):
-        hop = pointers.select(
-            F.col("id").alias("ancestor"), F.col("ancestor").alias("next"),
-            F.col("depth").alias("more"),
-        ).where("more > 0")
-        moved = pointers.drop("moved").join(hop, "ancestor", "left")
-        pointers = cut_lineage(
-            moved.select(
-                "id", F.coalesce("next", "ancestor").alias("ancestor"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                F.col("more").isNotNull().alias("moved"),
-            )
+    ids = edges.select(F.col("id").alias("known"))
+    start = cut_lineage(
+        edges.where(parent.isNotNull()).join(ids, parent == F.col("known"), "left").select(
+            "id", parent.alias("ancestor"), F.lit(1).cast("bigint").alias("depth"),
+            F.col("known").isNull().alias("done"),
         )
-        if pointers.where("moved").isEmpty():
-            break
-    # Whatever still moves after so many rounds goes round a cycle.
-    stuck = F.col("moved")
-    return pointers.select(
-        "id", F.when(~stuck, F.col("ancestor")).alias("root_id"),
-        F.when(~stuck, F.col("depth")).alias("depth"),
     )
+    roots = edges.where(parent.isNull()).select(
+        "id", F.col("id").alias("root_id"), F.lit(0).cast("bigint").alias("depth")
+    )
+    found = lambda rows: rows.where("done").select("id", F.col("ancestor").alias("root_id"), "depth")
+    finished, active = roots.unionByName(found(start)), start.where("NOT done").drop("done")
+    while not active.isEmpty():
+        # An ancestor is either finished, and gives its root, or moves on itself.
+        ahead = finished.select(F.col("id").alias("ancestor"), F.col("root_id").alias("next"),
+                                F.col("depth").alias("more"), F.lit(True).alias("done"))
+        ahead = ahead.unionByName(active.select(
+            F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("depth").alias("more"),
+            F.lit(False).alias("done")))
+        moved = cut_lineage(active.join(ahead, "ancestor").select(
+            "id", F.col("next").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"), "done"))
+        if moved.where("done").isEmpty():
+            break
+        finished, active = finished.unionByName(found(moved)), moved.where("NOT done").drop("done")
+    cyclic = active.select("id", F.lit(None).cast(edges.schema["id"].dataType).alias("root_id"),
+                           F.lit(None).cast("bigint").alias("depth"))
+    return finished.unionByName(cyclic)
+
+
+def _parents(publications: DataFrame) -> DataFrame:
+    """Ids that some row names as its parent, each once: a parent of very many rows is one row here."""
+    return publications.where("parent_publication_id IS NOT NULL").select(
+        F.col("parent_publication_id").alias("id")
+    ).distinct()
 
 
 def terminal_versions(publications: DataFrame) -> DataFrame:
     """Publications nothing supersedes."""
-    children = publications.where("parent_publication_id IS NOT NULL").select(
-        F.col("parent_publication_id").alias("id")
-    )
-    return publications.join(children, "id", "left_anti")
+    return publications.join(_parents(publications), "id", "left_anti")
 
 
 def newest_first(published: Column, identity: Column) -> Column:
@@ -109,14 +122,14 @@ def latest_leaf_flag(publications: DataFrame, closure: DataFrame) -> DataFrame:
     A lone publication that needs review is not latest. Within a longer lineage the status is not
     looked at.
     """
+    parents = _parents(publications).withColumn("is_parent", F.lit(True))
     rooted = publications.join(closure.select("id", "root_id"), "id")
-    size = F.count(F.lit(1)).alias("size")
-    # One pass per lineage with map-side combine: a row that is a parent is not terminal.
-    leaves = terminal_versions(rooted).groupBy("root_id").agg(
-        F.max_by("id", newest_first(F.col("published_at"), F.col("id"))).alias("id")
-    )
-    sizes = rooted.groupBy("root_id").agg(size)
-    winners = leaves.join(sizes, "root_id").select("id", "size")
+    # One pass per lineage with map-side combine, over the columns it needs only.
+    newest = newest_first(F.col("published_at"), F.col("id"))
+    winners = rooted.select("root_id", "id", "published_at").join(parents, "id", "left").groupBy("root_id").agg(
+        F.max_by("id", F.when(F.col("is_parent").isNull(), newest)).alias("id"),
+        F.count(F.lit(1)).alias("size"),
+    ).where("id IS NOT NULL").select("id", "size")
     latest = F.col("size").isNotNull() & ((F.col("size") > 1) | ~F.col("needs_review"))
     return (
         rooted.join(winners, "id", "left")
@@ -125,14 +138,21 @@ def latest_leaf_flag(publications: DataFrame, closure: DataFrame) -> DataFrame:
     )
 
 
-def as_of_versions(publications: DataFrame, as_of: Sequence[str]) -> DataFrame:
-    """The version of each lineage valid at each given date.
+def as_of_versions(publications: DataFrame, as_of: Sequence[str] | DataFrame) -> DataFrame:
+    """The version of each lineage valid at each given date: (root_id, as_of, id).
 
-    Rows published later are invisible. A row without a publication time counts from its
-    date-only update. The dates are a parameter list: one conditional aggregate each, one pass.
+    Rows published later are invisible. A row without a publication time counts from its date-only
+    update. A list of dates is a parameter: one conditional aggregate each, one pass. A table
+    (root_id, as_of) asks for each of its lineages at its own times; it is joined by lineage, and the
+    newest visible row of each request is combined before the shuffle.
     """
     known = F.coalesce(F.col("published_at"), F.col("source_updated_date").cast("timestamp_ntz"))
     order = F.struct(known, F.col("id").cast("string"), F.col("id").alias("id"))
+    if isinstance(as_of, DataFrame):
+        visible = publications.join(as_of.select("root_id", "as_of").distinct(), "root_id").where(
+            known <= F.col("as_of").cast("timestamp_ntz"))
+        return visible.groupBy("root_id", "as_of").agg(F.max(order).alias("newest")).select(
+            "root_id", "as_of", "newest.id")
     picks = [
         F.max(F.when(known <= F.lit(day).cast("timestamp_ntz"), order)).alias(f"at_{i}")
         for i, day in enumerate(as_of)

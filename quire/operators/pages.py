@@ -231,7 +231,7 @@ def page_text_from_cells(cells: DataFrame) -> DataFrame:
 
 def page_issues(pages: DataFrame, tables: DataFrame) -> DataFrame:
     """Pages with images and no table found: a table may hide in the raster."""
-    with_tables = tables.select("document_id", F.col("page").alias("page_number"))
+    with_tables = tables.select("document_id", F.col("page").alias("page_number")).distinct()
     return pages.where("image_count > 0").join(with_tables, list(PAGE), "left_anti").select(
         *PAGE, F.lit("NEEDS_REVIEW").alias("status"), F.lit("no_tables_detected").alias("reason"),
         F.lit("page has embedded images but find_tables returned none").alias("detail"),

@@ -13,6 +13,7 @@ from quire.functions.text import (
     LINE_WITH_BREAK,
     bind,
     computed_once,
+    first_matching,
     first_rule,
     fold_text,
     strip,
@@ -206,14 +207,16 @@ def class_rule(
 ) -> Column:
     """First rule that any field matches; the order of rules beats the order of fields.
 
-    The fields are scanned as one text, held apart by a character no rule can cross.
+    Each field is tested by itself, so anchors and wildcards of a rule stay within it. They are folded
+    as one text and parted again.
     """
     result = lambda rule: F.struct(
         F.lit(rule.document_class).alias("document_class"),
         F.lit(rule.confidence).alias("confidence"), F.lit(rule.name).alias("matched_pattern"),
     )
-    joined = F.concat_ws("\x00", *fields)
-    return bind(bind(joined, fold_text), lambda folded: first_rule(folded, rules, result))
+    parted = bind(F.concat_ws("\x00", *fields), lambda text: F.split(fold_text(text), "\x00"))
+    return bind(parted, lambda folded: first_matching(
+        lambda pattern: F.exists(folded, lambda field: field.rlike(pattern)), rules, result))
 
 
 def metadata_class(metadata: Column) -> Column:

@@ -31,12 +31,15 @@ def build_session(app_name: str = "quire", master: str | None = None, **conf: ob
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``.
 
-    Only an unset value (tests on one machine) falls back to a fresh temporary folder.
+    Unset, a session on one machine takes a fresh temporary folder; on a cluster that is an error, as
+    executors would not see each other's files.
     """
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_SETTING
     )
     if not configured:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quire-", dir="/tmp")
         spark.conf.set(CHECKPOINT_SETTING, configured)
     return configured

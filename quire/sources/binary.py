@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import re
+import zipfile
+from urllib.parse import unquote
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quire import values as V
 
@@ -18,12 +25,42 @@ def binary_facts(files: DataFrame, content: str = "content") -> DataFrame:
 
 
 def read_binary_corpus(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Files under a path with bytes, size and digest."""
+    """Files under a path with bytes, size and digest. Files without content have empty bytes.
+
+    The reader passes over files of zero bytes, though it lists them; names it lists and does not read are
+    added. The list is the one that the driver holds to plan the scan.
+    """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True).load(path)
-    )
-    return binary_facts(files.select("path", "modificationTime", "content"))
+    ).select("path", "modificationTime", "content")
+    names = [(re.sub("^file:/+", "file:/", unquote(name)),) for name in files.inputFiles()]
+    listed = spark.createDataFrame(names, "path string")
+    seen = files.select("path").distinct()
+    empty = listed.join(seen, "path", "left_anti").select(
+        "path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(b"").alias("content"))
+    return binary_facts(files.unionByName(empty))
+
+
+def _office_kind(contents: pd.Series) -> pd.Series:
+    """XLSX or DOCX by the folders that an archive's directory lists; none if it has both or neither."""
+
+    def kind(data: bytes | None) -> str | None:
+        if data is None:
+            return None
+        try:
+            with zipfile.ZipFile(io.BytesIO(data)) as archive:
+                names = archive.namelist()
+        except (zipfile.BadZipFile, OSError, ValueError, NotImplementedError):
+            return None
+        sheet = any(name.startswith("xl/") for name in names)
+        text = any(name.startswith("word/") for name in names)
+        return "XLSX" if sheet and not text else "DOCX" if text and not sheet else None
+
+    return contents.map(kind)
+
+
+office_kind = F.pandas_udf(_office_kind, StringType())
 
 
 def _head(content: Column, size: int = _HEAD_BYTES) -> Column:
@@ -43,24 +80,41 @@ def _starts(content: Column, magic: bytes) -> Column:
     return F.substring(content, 1, len(magic)) == F.lit(bytearray(magic))
 
 
+#: The mark of an old office file, and the first record of one that holds a workbook.
+_OLE = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"
+_WORKBOOK_RECORD = b"\x09\x08\x10\x00\x00\x06\x05\x00"
+_SECTOR_MARK, _SECTOR_KINDS = b"\xfd\xff\xff\xff", (b"\x00", b"\x02")
+
+
+def _holds_old_sheet(content: Column) -> Column:
+    """An old office file whose first sector says that it holds a workbook."""
+    at = lambda start, size: F.substring(content, start + 1, size)
+    kind = F.lit(False)
+    for value in _SECTOR_KINDS:
+        kind = kind | (at(518, 1) == F.lit(bytearray(value)))
+    first = (at(512, 8) == F.lit(bytearray(_WORKBOOK_RECORD))) | (
+        (at(512, 4) == F.lit(bytearray(_SECTOR_MARK))) & kind)
+    return _starts(content, _OLE) & (F.octet_length(content) > 520) & first
+
+
 def detect_file_type(files: DataFrame, content: str = "content") -> DataFrame:
     """``file_type`` and ``mime_type`` from the bytes alone; the name never decides.
 
-    Member names of a zip archive stand in clear in its headers, so a search of the whole bytes for
-    the folder of each office format decides between them; one with both is not decided.
+    Office formats are told apart by the member names in the archive's directory, never by a search of its
+    contents. Only rows that start like an archive are handed to the function that walks the directory.
     """
     data = F.col(content)
     empty = data.isNull() | (F.octet_length(data) == 0)
-    zipped = _starts(data, b"PK")
-    holds = lambda folder: F.contains(data, F.lit(bytearray(folder)))
-    sheet, text = holds(b"xl/"), holds(b"word/")
+    office = office_kind(F.when(_starts(data, b"PK"), data))
+    files = files.withColumn("_office", office)
     kinds = (
         (empty, "unknown", None),
         (has_html_marker(data), "unknown", "text/html"),
         (_starts(data, b"%PDF"), "PDF", "application/pdf"),
-        (zipped & sheet & ~text, "XLSX", V.XLSX_MIME),
-        (zipped & text & ~sheet, "DOCX", V.DOCX_MIME),
-        (_starts(data, b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"), "unknown", "application/x-ole-storage"),
+        (F.col("_office") == "XLSX", "XLSX", V.XLSX_MIME),
+        (F.col("_office") == "DOCX", "DOCX", V.DOCX_MIME),
+        (_holds_old_sheet(data), "XLS", "application/vnd.ms-excel"),
+        (_starts(data, _OLE), "unknown", "application/x-ole-storage"),
     )
     result = None
     for test, kind, mime in kinds:
@@ -68,7 +122,7 @@ def detect_file_type(files: DataFrame, content: str = "content") -> DataFrame:
         result = F.when(test, value) if result is None else result.when(test, value)
     result = result.otherwise(F.struct(
         F.lit("unknown").alias("file_type"), F.lit(None).cast("string").alias("mime_type")))
-    return files.withColumn("detected", result).select("*", "detected.*").drop("detected")
+    return files.withColumn("detected", result).select("*", "detected.*").drop("detected", "_office")
 
 
 def resolve_mime(detected: Column, reported: Column, content: Column) -> Column:

@@ -13,7 +13,7 @@ _MARK = "\x01"
 
 def read_listing_pages(spark: SparkSession, path: str) -> DataFrame:
     """HTML files under a path, one row per page."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("page_id"), F.col("value").alias("html")
     )
 

@@ -1,9 +1,14 @@
 """Headings, classes, OCR, bytes, cards and grids on literal input."""
 
 import datetime as dt
+import hashlib
+import html
+import io
+import zipfile
 
 from pyspark.sql import functions as F
 
+from quire import values as V
 from quire.functions import text as X
 from quire.operators import cells as C
 from quire.operators import pages as P
@@ -69,15 +74,51 @@ def test_ocr_quality(spark):
         "no_text_detected", "missing_confidence", *["invalid_confidence"] * 4, "low_confidence", "sufficient_confidence"]
 
 
+def office_file(*names, text="x"):
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for name in names:
+            archive.writestr(name, text)
+    return data.getvalue()
+
+
 def test_file_types_and_files(spark, tmp_path):
-    samples = {"b.pdf": b" <HTML><p>", "c.txt": b"%PDF-1.4", "d": b"PK\x03\x04..xl/workbook.xml",
-               "e": b"PK\x03\x04word/document.xml", "f": b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1x", "g": b"PKxl/word/"}
-    for name, data in samples.items():
+    ole = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"
+    samples = {
+        "b.pdf": (b" <HTML><p>", "unknown"), "c.txt": (b"%PDF-1.4", "PDF"), "d": (office_file("xl/workbook.xml"), "XLSX"),
+        "e": (office_file("word/document.xml", text="see xl/workbook.xml"), "DOCX"), "f": (ole + b"x", "unknown"),
+        "g": (office_file("xl/a", "word/b"), "unknown"), "h": (b"PK\x03\x04 xl/ no archive", "unknown"),
+        "i": (ole + bytes(504) + b"\x09\x08\x10\x00\x00\x06\x05\x00 ", "XLS"), "with space.pdf": (b"", "unknown"),
+        "j": (ole + bytes(504) + b"\xfd\xff\xff\xff\x00\x00\x02\x00\x00", "XLS"),
+    }
+    for name, (data, _) in samples.items():
         (tmp_path / name).write_bytes(data)
     files = binary.detect_file_type(binary.read_binary_corpus(spark, str(tmp_path)))
-    got = {r.path.rsplit("/", 1)[1]: (r.file_type, r.size_bytes) for r in files.collect()}
-    assert got == {"b.pdf": ("unknown", 10), "c.txt": ("PDF", 8), "d": ("XLSX", 21),
-                   "e": ("DOCX", 21), "f": ("unknown", 9), "g": ("unknown", 10)}
+    got = {r.path.rsplit("/", 1)[1]: (r.file_type, r.size_bytes, r.sha256) for r in files.collect()}
+    assert got == {name: (kind, len(data), hashlib.sha256(data).hexdigest()) for name, (data, kind) in samples.items()}
+
+
+def test_entities_equal_the_standard_library(spark):
+    texts = ["&eacute;&Agrave;", "&#150;&#0;&#x80;&#xD800;&#1114112;&#99999999999;", "&notit; &notin; &amp;lt; &nosuch; & &;",
+             "&#65 &#x41z &#; &#x; &#11;&#9;", "<!-- -->&lt<!-- -->&frac12x &NotEqualTilde; &AMP", "no entity", "&#xFFFE;|&#127;|&#12;"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.c for r in df.select("i", X.html_clean(F.col("t")).alias("c")).orderBy("i").collect()]
+    assert got == [html.unescape(t.replace("<!-- -->", "")) for t in texts]
+
+
+def test_numbers_read_as_python_writes_them(spark):
+    numbers = [1e10, 1e-5, 1e16, 1e15, 0.1, 100.0, -2.5, 1e22, 5e-324, 123456.789, 0.0001]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(numbers)], "i int, n double")
+    got = [r.t for r in df.select("i", X.value_text(F.col("n"), "double").alias("t")).orderBy("i").collect()]
+    assert got == [str(n) for n in numbers]
+
+
+def test_class_rules_stay_within_a_field(spark):
+    rule = V.CLASS_RULES[0]
+    rules = [rule._replace(pattern="^REPORT$", name="whole")]
+    df = spark.createDataFrame([(1, "my", "report"), (2, "my report", "x"), (3, None, "Report")], "i int, a string, b string")
+    got = {r.i: r.m for r in df.select("i", S.class_rule(F.col("a"), F.col("b"), rules=rules)["matched_pattern"].alias("m")).collect()}
+    assert got == {1: "whole", 2: None, 3: "whole"}
 
 
 def test_catalog_file(spark, tmp_path):
@@ -89,22 +130,24 @@ def test_catalog_file(spark, tmp_path):
 
 
 def test_cards(spark):
-    def card(title, date, name):
-        link = f'<a href="/api/download?url=https%3A%2F%2Fexample.com%2F{name}.pdf">Download</a>' if name else ""
-        return f'<div><span class="t">{title}</span><span>Updated<!-- -->: <!-- -->{date}</span>{link}</div>'
-    html = "".join([
-        card("information disclosure consolidated financial statement", "4/24/2026", "consolidated"),
-        card("audited separate financial statements of 2025", "3/19/2026", "audited-s"),
-        card("information disclosure audited annual report", "3/19/2026", "annual"),
-        card("Information disclosure without link", "3/19/2026", None), card("Information disclosure", "soon", "x"),
-    ])
-    cards = listing.extract_disclosure_cards(spark.createDataFrame([(1, html)], "page_id int, html string"))
+    def card(title, date, *names):
+        links = "".join(f'<a href="/api/download?url=https%3A%2F%2Fhost.test%2Fd%2F{n}.pdf">x</a>' for n in names)
+        return f'<li><span class="q7">{title}</span><i>Updated<!-- -->: {date}</i>{links}</li>'
+    page = "<ul>" + "".join([
+        card("Press release", "1/1/2031", "press"),
+        card("Information disclosures on the Q3 separate financial statement", "11/2/2031", "q3", "q3-en"),
+        card("Audited consolidated financial statements, year 2030 &ndash; r&eacute;vis&eacute;", "3/9/2031", "fy30"),
+        card("Information disclosure of a board decision", "12/31/2030", "board"),
+        card("Information disclosure, no file", "1/1/2031"), card("Information disclosure, no day", "tomorrow", "y"),
+    ]) + "</ul>"
+    cards = listing.extract_disclosure_cards(spark.createDataFrame([(1, page)], "page_id int, html string"))
     got = cards.orderBy("card_no").collect()
-    assert [(c.scope, c.audit_status, c.attachments[0].filename) for c in got] == [
-        ("consolidated", "unknown", "consolidated.pdf"), ("standalone", "audited", "audited-s.pdf"),
-        ("unknown", "audited", "annual.pdf")]
-    assert got[0].updated_date == dt.date(2026, 4, 24)
-    assert got[0].source_document_id == "fpt-ir-FPT-information-disclosure-consolidated-financial-statement-2026-04-24"
+    assert [(c.scope, c.audit_status, [a.filename for a in c.attachments]) for c in got] == [
+        ("standalone", "unknown", ["q3.pdf", "q3-en.pdf"]), ("consolidated", "audited", ["fy30.pdf"]),
+        ("unknown", "unknown", ["board.pdf"])]
+    assert [c.updated_date for c in got] == [dt.date(2031, 11, 2), dt.date(2031, 3, 9), dt.date(2030, 12, 31)]
+    assert got[1].title == "Audited consolidated financial statements, year 2030 – révisé"
+    assert got[2].source_document_id.endswith("-information-disclosure-of-a-board-decision-2030-12-31")
 
 
 def test_overlap_against_all_pairs(spark):

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from quire.operators import ingest as I
 from quire.operators import jobs as J
 from quire.operators import lineage as L
 from quire.operators import upserts as U
@@ -67,12 +68,63 @@ def test_closure_of_long_chains_wide_stars_and_cycles(spark):
     star = [(1000 + i, 1000 if i else None) for i in range(300)]
     cycle = [(5000, 5001), (5001, 5002), (5002, 5000), (5003, 5000)]
     edges = spark.createDataFrame(chain + star + cycle, "id int, parent_publication_id int")
-    got = {r.id: (r.root_id, r.depth) for r in L.lineage_closure(edges, max_depth=1024).collect()}
+    got = {r.id: (r.root_id, r.depth) for r in L.lineage_closure(edges).collect()}
     assert all(got[i] == (0, i) for i in range(300))
     assert all(got[1000 + i] == (1000, min(i, 1)) for i in range(300))
     assert all(got[i] == (None, None) for i in range(5000, 5004))
 
 
+def test_a_cycle_costs_no_more_rounds_than_the_longest_chain(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(L, "cut_lineage", lambda df: cuts.append(1) or df.cache())
+    edges = spark.createDataFrame([(1, 2), (2, 1), (3, None), (4, 3), (5, 9)], "id int, parent_publication_id int")
+    got = {r.id: (r.root_id, r.depth) for r in L.lineage_closure(edges).collect()}
+    assert got == {1: (None, None), 2: (None, None), 3: (3, 0), 4: (3, 1), 5: (9, 1)}
+    assert len(cuts) <= 3
+
+
+def test_orders_of_company_listings(spark):
+    import datetime as dt
+    t = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)]
+    pubs = spark.createDataFrame([(1, 7, t[1]), (2, 7, t[2]), (3, 7, t[2]), (4, 7, t[0]), (5, 6, t[1])],
+                                 "id int, company_id int, published_at timestamp_ntz")
+    assert [r.id for r in I.company_documents_newest(pubs).collect()] == [5, 4, 3, 2, 1]
+    artifacts = spark.createDataFrame([(10, 1, t[1]), (11, 2, t[2]), (12, 3, t[2]), (13, 5, t[1])],
+                                      "id int, publication_id int, created_at timestamp_ntz")
+    assert [r.id for r in I.company_artifacts(artifacts, pubs).collect()] == [13, 12, 11, 10]
+    assert [r.id for r in I.company_artifacts(artifacts, pubs, 7).collect()] == [12, 11, 10]
+
+
+def test_discover_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "pubs")
+    spark.sql("SELECT 'FPT' AS ticker, timestamp_ntz'2024-04-20 23:30:00' AS published_at UNION ALL "
+              "SELECT 'fpt', timestamp_ntz'2024-04-21 00:00:00'").write.parquet(path)
+    stored = spark.read.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    found = I.discover(stored, "FPT", "2024-04-20", "2024-04-20", stored_upper=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(published_at" in plan and "GreaterThanOrEqual(published_at" in plan and "EqualTo(ticker,FPT)" in plan
+    assert found.count() == 1 and I.discover(stored, "fpt").count() == 2
+
+
+def test_block_content_is_a_json_object(spark):
+    texts = ["{broken}", '{"a": 1}', "[1]", "", None, "7", ' {"b": {}} ', "{}"]
+    blocks = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "block_index int, content string").withColumns(
+        {c: F.lit(None).cast("double") for c in ("bbox_x0", "bbox_y0", "bbox_x1", "bbox_y1")})
+    bad = {r.block_index for r in I.check_block_rows(blocks).where("array_contains(violations, 'content')").collect()}
+    assert bad == {0, 2, 3, 4, 5}
+
+
+def test_versions_as_of_a_table(spark):
+    import datetime as dt
+    pubs = spark.createDataFrame([(1, 1, dt.datetime(2024, 1, 1), None), (2, 1, dt.datetime(2024, 2, 1), None),
+                                  (3, 3, None, dt.date(2024, 1, 15))],
+                                 "id int, root_id int, published_at timestamp_ntz, source_updated_date date")
+    asked = spark.createDataFrame([(1, "2024-01-20"), (1, "2024-03-01"), (3, "2024-01-01"), (3, "2024-01-15")], "root_id int, as_of string")
+    got = {(r.root_id, r.as_of, r.id) for r in L.as_of_versions(pubs, asked).collect()}
+    assert got == {(1, "2024-01-20", 1), (1, "2024-03-01", 2), (3, "2024-01-15", 3)}
+
+
 def test_job_fold(spark):
     import datetime as dt
     t = [dt.datetime(2024, 1, 1, h) for h in range(6)]

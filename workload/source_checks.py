@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 from pyspark.sql import functions as F
 
 from quire.operators import cells as C
 from quire.sources import binary, catalog, listing, sidecars
 from workload import views as v
+from quire.session import new_shared_path
 from workload.registry import query
 from workload.table_checks import matrices
 
@@ -33,8 +37,8 @@ def _(spark, d):
             for n in ("a", "b")
         ])).alias("attachments"),
     )
-    texts = v.v_pub(spark, d).select(F.to_json(F.array(item)).alias("json"))
-    pubs = catalog.parse_disclosure_catalog(texts)
+    texts = v.v_pub(spark, d).groupBy((key % 20).alias("part")).agg(F.to_json(F.collect_list(item)).alias("json"))
+    pubs = catalog.read_disclosure_catalog(spark, one_file_each(texts, "part", "json"))
     return pubs.select(
         "source", "ticker", "source_document_id", "title", "published_at",
         F.col("published_instant").cast("timestamp_ntz").alias("published_instant"), "document_type",
@@ -62,30 +66,58 @@ def _(spark, d):
 @query(
     "read_binary_corpus",
     "v_page",
-    "SELECT document_id, page_number, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, sha256(text) AS sha256 FROM v_page",
+    """, f AS (SELECT document_id % 64 AS file, string_agg(text, chr(10) ORDER BY document_id, page_number) || chr(10) AS text FROM v_page GROUP BY 1)
+    SELECT file, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, sha256(text) AS sha256 FROM f""",
 )
 def _(spark, d):
-    files = v.v_page(spark, d).select("document_id", "page_number", F.col("text").cast("binary").alias("content"))
-    return binary.binary_facts(files).drop("content")
+    # The pages are written as files of some documents each, and read back with their names.
+    page = F.struct("document_id", "page_number", F.coalesce("text", F.lit("")).alias("text"))
+    texts = v.v_page(spark, d).groupBy((F.col("document_id") % 64).alias("file")).agg(F.array_join(
+        F.transform(F.array_sort(F.collect_list(page)), lambda p: p["text"]), "\n").alias("text"))
+    files = binary.read_binary_corpus(spark, one_file_each(texts, "file", "text"))
+    return files.select(F.regexp_extract("path", "file=([0-9]+)/", 1).cast("bigint").alias("file"), "size_bytes", "sha256")
+
+
+def one_file_each(texts, key, text):
+    """A folder in the shared space with a file for each row, in a subfolder that has its key."""
+    path = new_shared_path(texts.sparkSession, "files")
+    (texts.select(key, text).repartition(F.col(key)).write.partitionBy(key).option("maxRecordsPerFile", 1)
+     .text(path))
+    return path
 
 
 @query("read_listing_pages", "v_card", "SELECT page_id, html FROM v_card")
 def _(spark, d):
-    return v.v_card(spark, d)
+    path = one_file_each(v.v_card(spark, d), "page_id", "html")
+    read = listing.read_listing_pages(spark, path)
+    return read.select(F.regexp_extract("page_id", "page_id=([0-9]+)", 1).cast("bigint").alias("page_id"),
+                       F.regexp_replace("html", "\n$", "").alias("html"))
+
+
+_KINDS = """, b AS (SELECT document_id, page_number, (document_id + page_number) % 11 AS k, text FROM v_page)"""
 
 
-_KINDS = """, b AS (SELECT document_id, page_number, (document_id + page_number) % 8 AS k, text FROM v_page)"""
+def archive(members):
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as out:
+        for name, text in members.items():
+            out.writestr(zipfile.ZipInfo(name.replace("__", "/") + ".xml"), text)
+    return data.getvalue()
 
 
 def byte_files(spark, d):
-    k = (F.col("document_id") + F.col("page_number")) % 8
-    zipped = lambda *names: F.concat(F.lit(bytearray(b"PK\x03\x04")), *[F.lit(bytearray(n)) for n in names], F.col("text").cast("binary"))
+    """Files of every kind: real archives, and texts that only look or sound like one."""
+    k = (F.col("document_id") + F.col("page_number")) % 11
+    zipped = lambda **members: F.lit(bytearray(archive(members)))
     lead = lambda raw: F.concat(F.lit(bytearray(raw)), F.col("text").cast("binary"))
     content = (
         F.when(k == 0, F.lit(bytearray(b""))).when(k == 1, lead(b"\n <!DOCTYPE html><p>"))
-        .when(k == 2, lead(b"%PDF-1.4 ")).when(k == 3, zipped(b"..xl/workbook.xml"))
-        .when(k == 4, zipped(b"word/document.xml")).when(k == 5, zipped(b"xl/a", b"word/b"))
-        .when(k == 6, lead(b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1")).otherwise(lead(b"?"))
+        .when(k == 2, lead(b"%PDF-1.4 ")).when(k == 3, zipped(xl__workbook="x"))
+        .when(k == 4, zipped(word__document="x")).when(k == 5, zipped(xl__a="x", word__b="y"))
+        .when(k == 6, lead(b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1")).when(k == 7, lead(b"PK\x03\x04 xl/ not an archive "))
+        .when(k == 8, zipped(word__document="see xl/workbook.xml"))
+        .when(k == 9, lead(b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1" + bytes(504) + b"\x09\x08\x10\x00\x00\x06\x05\x00 "))
+        .otherwise(lead(b"?"))
     )
     return v.v_page(spark, d).select("document_id", "page_number", content.alias("content"))
 
@@ -93,9 +125,10 @@ def byte_files(spark, d):
 @query(
     "detect_file_type",
     "v_page",
-    _KINDS + """ SELECT document_id, page_number, CASE k WHEN 2 THEN 'PDF' WHEN 3 THEN 'XLSX' WHEN 4 THEN 'DOCX' ELSE 'unknown' END AS file_type,
+    _KINDS + """ SELECT document_id, page_number, CASE k WHEN 2 THEN 'PDF' WHEN 3 THEN 'XLSX' WHEN 4 THEN 'DOCX' WHEN 8 THEN 'DOCX' WHEN 9 THEN 'XLS' ELSE 'unknown' END AS file_type,
       CASE k WHEN 1 THEN 'text/html' WHEN 2 THEN 'application/pdf' WHEN 3 THEN 'application/vnd.openxmlformats-officedocument.spreadsheetml.sheet'
-        WHEN 4 THEN 'application/vnd.openxmlformats-officedocument.wordprocessingml.document' WHEN 6 THEN 'application/x-ole-storage' END AS mime_type FROM b""",
+        WHEN 4 THEN 'application/vnd.openxmlformats-officedocument.wordprocessingml.document'
+        WHEN 8 THEN 'application/vnd.openxmlformats-officedocument.wordprocessingml.document' WHEN 9 THEN 'application/vnd.ms-excel' WHEN 6 THEN 'application/x-ole-storage' END AS mime_type FROM b""",
 )
 def _(spark, d):
     return binary.detect_file_type(byte_files(spark, d)).drop("content")
@@ -196,10 +229,17 @@ _SIDE = """, sc AS (SELECT * FROM v_table WHERE document_id % 13 > 1)"""
 @query(
     "read_grid_sidecars",
     "v_cell v_table",
-    _SIDE + """ SELECT c.table_id, c."row", c."column", c.raw_text, c.document_id % 3 = 1 AND c."column" = 2 AS is_merged FROM v_cell c JOIN sc USING (table_id)""",
+    """, n AS (SELECT document_id, table_id, max("row") + 1 AS n FROM v_cell GROUP BY ALL),
+    o AS (SELECT *, sum(n) OVER (PARTITION BY document_id ORDER BY table_id COLLATE C) - n AS above FROM n)
+    SELECT 'D' || o.document_id AS table_id, CAST(c."row" + above AS INTEGER) AS "row", c."column", c.raw_text, false AS is_merged FROM v_cell c JOIN o ON o.table_id = c.table_id""",
 )
 def _(spark, d):
-    return sidecars.parse_grid_sidecars(sidecar_texts(spark, d))[1].select("table_id", "row", "column", "raw_text", "is_merged")
+    # One file per document, with the rows of its tables one under the other.
+    stacked = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("table_id", "matrix"))), lambda t: t["matrix"]))
+    texts = matrices(spark, d).groupBy("document_id").agg(stacked.alias("matrix")).select(
+        "document_id", F.to_json(F.struct(F.concat(F.lit("D"), "document_id").alias("table_id"), F.lit(1).alias("page"), "matrix")).alias("text"))
+    path = one_file_each(texts, "document_id", "text")
+    return sidecars.read_grid_sidecars(spark, path, "*.txt")[1].select("table_id", "row", "column", "raw_text", "is_merged")
 
 
 @query(

@@ -115,7 +115,7 @@ v_cell AS (
 
 V_CARD = """v_card0 AS (
   SELECT page_id, html, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
-    regexp_extract_all(html, 'href="([^"]+)"', 1)[1:3] AS links FROM pages),
+    regexp_extract_all(html, 'href="([^"]+)"', 1) AS links FROM pages),
 v_card AS (
   SELECT page_id, html || array_to_string(list_transform(range(1, len(links) + 1), lambda i:
       '<div><span class="t"> ' || (CASE i WHEN 1 THEN 'Information disclosure '

@@ -12,6 +12,8 @@ from quire.operators import reconstruct as R
 from quire.operators import sections as S
 from workload import views as v
 from workload.page_checks import DECISION, PAGE_HITS, RULES, headed_pages, page_hits
+from quire.session import new_shared_path
+from quire.sources.sheets import read_sheet_cells
 from workload.registry import query
 from workload.sql_views import fold
 from workload.text_checks import amount_sql, caption_sql, period_sql, role_sql, unit_sql
@@ -113,7 +115,10 @@ def sheet_cells(spark, d):
 
 @query("read_sheet_cells", "v_cell", SHEET + " SELECT document_id, sheet_index, sheet_name, r AS row, c AS \"column\", value_text, formula_text, is_merged, address FROM sheet2")
 def _(spark, d):
-    return sheet_cells(spark, d)
+    path = new_shared_path(spark, "sheet-cells")
+    cells = sheet_cells(spark, d)
+    cells.write.parquet(path)
+    return read_sheet_cells(spark, path).select(*cells.columns)
 
 
 @query("used_range", "v_cell", SHEET + " SELECT * FROM rng")

@@ -238,7 +238,9 @@ def _(spark, d):
     "value_text",
     sql="""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 2 = 0 THEN 'TRUE' ELSE 'FALSE' END AS flag,
       strftime(l_shipdate, '%Y-%m-%d') AS day, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS moment,
-      CAST(CAST(l_quantity AS DECIMAL(12, 2)) AS VARCHAR) AS amount, l_returnflag AS raw FROM lineitem""",
+      CAST(CAST(l_quantity AS DECIMAL(12, 2)) AS VARCHAR) AS amount, l_returnflag AS raw,
+      CASE WHEN l_linenumber % 7 = 6 THEN '1e-05' ELSE (l_partkey + 1) || (CASE WHEN l_linenumber % 7 = 5 THEN '0000000000.0' ELSE '.5' END) END AS number
+      FROM lineitem""",
 )
 def _(spark, d):
     return v.table(spark, d, "lineitem").select(
@@ -248,6 +250,8 @@ def _(spark, d):
         X.value_text(F.col("l_shipdate"), "timestamp_ntz").alias("moment"),
         X.value_text(F.col("l_quantity").cast("decimal(12,2)"), "decimal(12,2)").alias("amount"),
         X.value_text(F.col("l_returnflag").cast("binary"), "binary").alias("raw"),
+        X.value_text(F.when(F.col("l_linenumber") % 7 == 6, 1e-5).when(
+            F.col("l_linenumber") % 7 == 5, (F.col("l_partkey") + 1) * 1e10).otherwise(F.col("l_partkey") + 1.5), "double").alias("number"),
     )
 
 
@@ -305,10 +309,10 @@ def _(spark, d):
     "html_clean",
     "v_card",
     """SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '<!-- -->', '')
-      || '&#233;&#x41;', '&#233;', 'é'), '&#x41;', 'A'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS clean FROM v_card""",
+      || '&#233;&#x41;', '&#233;', 'é'), '&#x41;', 'A'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') || 'éÀ–\ufffdnotit;¬it; &nosuch; &amp;' AS clean FROM v_card""",
 )
 def _(spark, d):
-    html = F.concat(F.col("html"), F.lit("&#233;&#x41;"))
+    html = F.concat(F.col("html"), F.lit("&#233;&#x41;" "&eacute;&Agrave;&#150;&#0;notit;&notit; &nosuch; &amp;amp;"))
     return v.v_card(spark, d).select("page_id", X.html_clean(html).alias("clean"))
 
 

@@ -237,10 +237,10 @@ def v_cell(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v_card(spark: SparkSession, d: str) -> DataFrame:
-    """Listing pages: the raw page followed by one disclosure card per link, three at most."""
+    """Listing pages: the raw page followed by one disclosure card per link."""
     page = F.col("page_id")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    links = F.slice(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1)), 1, 3)
+    links = F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))
     cards = F.array_join(
         F.transform(
             links,
