@@ -257,27 +257,40 @@ def overlap_replaces_native(
     return native.join(covered.select(*page, "bbox").distinct(), [*page, "bbox"], "left_semi")
 
 
+def grid_sizes(cells: DataFrame) -> DataFrame:
+    """(table_id, row_count, column_count): rows, and slots of the widest."""
+    return cells.groupBy("table_id", "row").agg(F.count("column").alias("width")).groupBy("table_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("width").alias("column_count"))
+
+
 def merge_table_extractions(native: DataFrame, raw: DataFrame) -> DataFrame:
-    """Native tables that no full raw grid covers, and all raw ones, in page order."""
+    """Native tables that no full raw grid covers, and all raw ones. Order them where they are written."""
     replaced = overlap_replaces_native(native, raw).select("table_id")
     kept = native.join(replaced, "table_id", "left_anti")
-    return kept.unionByName(raw.select(*native.columns)).orderBy("document_id", "page", "table_index")
+    same = [F.col(c) if c in raw.columns else F.lit(None).cast(native.schema[c].dataType).alias(c)
+            for c in native.columns]
+    return kept.unionByName(raw.select(*same))
 
 
 def bind_sidecars(documents: DataFrame, sidecars: DataFrame, cells: DataFrame):
-    """Sidecar tables bound to every document of their digest, with that document's identity."""
+    """Sidecar tables and cells bound to every document of their digest, with that document's identity.
+
+    The tables carry their row and column counts; the cells carry document, page and table index.
+    """
     identity = documents.select(
         "document_id", "artifact_id", "source_sha256", F.col("source_label").alias("bound_label")
     )
     bound = sidecars.drop("document_id", "artifact_id").withColumnRenamed(
         "declared_sha256", "source_sha256"
     ).join(identity, "source_sha256")
+    bound = bound.join(grid_sizes(cells), "table_id", "left").withColumns({
+        c: F.coalesce(c, F.lit(0)) for c in ("row_count", "column_count")})
     bound = bound.withColumn("bound_id", make_table_id(
         F.col("page"), F.col("table_index"), document_id=F.col("document_id"),
         artifact_id=F.col("artifact_id"), source_sha256=F.col("source_sha256"), sidecar=True,
     ))
-    ids = bound.select("table_id", "bound_id", "document_id")
-    bound_cells = cells.drop("document_id").join(ids, "table_id").drop("table_id")
+    ids = bound.select("table_id", "bound_id", "document_id", "table_index")
+    bound_cells = cells.drop("document_id", "table_index").join(ids, "table_id").drop("table_id")
     tables = bound.drop("table_id", "source_label").withColumns({"extractor_name": F.lit("json_raw_table")})
     rename = lambda df: df.withColumnsRenamed(
         {"bound_id": "table_id", "bound_label": "source_label"})

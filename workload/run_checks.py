@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators import cells as C
+from quire.operators import ingest as I
 from quire.operators import reconstruct as R
 from quire.plans import ingest_run, process_run, snapshots
 from quire.session import new_shared_path
+from quire.sources.sidecars import parse_grid_sidecars
 from quire.streaming import streams
 from workload import views as v
 from workload.ingest_checks import LATEST, now
-from workload.page_checks import _CLASS_ARMS, _CLASSES, _TYPE, DECISION, headed_pages
+from workload.page_checks import _CLASS_ARMS, _CLASSES, _HEADED, _TYPE, DECISION, headed_pages
 from workload.registry import query
 from workload.sql_views import fold
-from workload.table_checks import BLOCKS, TABLES, native_tables, rebuilt
+from workload.source_checks import sidecar_texts
+from workload.table_checks import BLOCKS, BOXES, SHEET, TABLES, native_tables, rebuilt, sheet_cells
 
 _DEC = DECISION.replace(
     "FROM v_page)", "FROM (SELECT h.document_id, h.page_number, h.text, p.image_coverage, p.image_count, p.image_coverage_error FROM vh h JOIN v_page p USING (document_id, page_number)))"
@@ -34,15 +37,34 @@ RUN = TABLES + _DEC + f""", {_CLASSES},
   we AS (SELECT document_id, string_agg(w, '; ' ORDER BY n) AS error FROM wk WHERE n <= 8 GROUP BY document_id)"""
 
 
-def processed(spark, d):
-    head = v.v_head(spark, d)
-    requests = head.select("document_id", "title", "filename", "document_type")
+_DEC_HEADED = (_HEADED + _DEC).replace("dec AS", "hdec AS").replace("dr AS", "hdr AS").replace("decisions AS", "hd AS").replace(
+    "FROM dec)", "FROM hdec)").replace("FROM dr)", "FROM hdr)")
+
+
+def requested(spark, d):
+    return v.v_head(spark, d).select("document_id", "title", "filename", "document_type")
+
+
+def processed(spark, d, ocr=False, sidecars=False):
     pages = headed_pages(spark, d)
     page_blocks = v.v_page(spark, d).select(
-        "document_id", "page_number", F.posexplode(F.split("text", "\n")).alias("seq", "t")).drop("t")
+        "document_id", "page_number", F.posexplode(F.split("text", "\n")).alias("seq", "text"))
     cells = v.v_cell(spark, d)
     tables = C.table_quality(cells, native_tables(spark, d, cells))
-    return process_run.process_pages(requests, pages, page_blocks, tables, cells)
+    options = {}
+    if ocr:
+        page = F.col("document_id") + F.col("page_number")
+        options["ocr_pages"] = pages.select("document_id", "page_number", F.lit("zq zq").alias("text"), F.lit("eye").alias("engine"), (
+            F.when(page % 3 == 0, 0.4).otherwise(0.9)).alias("confidence"))
+    if sidecars:
+        found, grids, warnings = parse_grid_sidecars(sidecar_texts(spark, d))
+        doc = F.col("document_id")
+        documents = v.v_table(spark, d).select(doc).distinct().select(
+            doc, F.concat(F.lit("art-"), doc).alias("artifact_id"), F.sha2(doc.cast("string"), 256).alias("source_sha256"),
+            F.lit("label").alias("source_label"))
+        options["raw_tables"], options["raw_cells"] = C.bind_sidecars(documents, found, grids)
+        options["raw_warnings"] = warnings
+    return process_run.process_pages(requested(spark, d), pages, page_blocks, tables, cells, **options)
 
 
 @query(
@@ -64,7 +86,86 @@ def _(spark, d):
     WHERE (document_id, page_number) IN (SELECT document_id, page_number FROM v_page)""",
 )
 def _(spark, d):
-    return processed(spark, d).blocks
+    return processed(spark, d).blocks.select("document_id", "page_number", "source", "seq", "block_index")
+
+
+@query(
+    "process_blocks_content",
+    "v_page v_table",
+    BLOCKS + """, keep AS (SELECT * FROM (SELECT * FROM bl WHERE rank <> 1 UNION ALL SELECT document_id, page_number, 1, 0 FROM hd WHERE needs_ocr)
+      WHERE document_id IN (SELECT doc_id FROM documents)),
+    nb AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number ORDER BY rank, seq) - 1 AS block_index FROM keep)
+    SELECT document_id, page_number, block_index, CASE rank WHEN 2 THEN 'table' ELSE 'text' END AS block_type, ['native', 'ocr', 'table_reconstruction'][rank + 1] AS source,
+      CASE rank WHEN 0 THEN string_split(text, chr(10))[seq + 1] WHEN 1 THEN 'zq zq' END AS text, CASE rank WHEN 2 THEN table_id END AS table_id,
+      CASE rank WHEN 1 THEN CASE WHEN (document_id + page_number) % 3 = 0 THEN 'low_confidence' ELSE 'sufficient_confidence' END END AS quality, true AS valid
+    FROM nb JOIN (SELECT document_id, page_number, text FROM v_page) USING (document_id, page_number)
+      LEFT JOIN (SELECT document_id, page AS page_number, table_index AS seq, table_id FROM v_table) t USING (document_id, page_number, seq)"""
+    .replace(", keep AS", _DEC_HEADED + ", keep AS"),
+)
+def _(spark, d):
+    blocks = I.check_block_rows(processed(spark, d, ocr=True).blocks.withColumns(
+        {f"bbox_{c}": F.col("bbox")[c] for c in ("x0", "y0", "x1", "y1")}))
+    at = lambda key: F.get_json_object("content", f"$.{key}")
+    return blocks.select("document_id", "page_number", "block_index", "block_type", at("source").alias("source"), at("text").alias("text"),
+                         at("table_id").alias("table_id"), at("quality_reason").alias("quality"), (F.size("violations") == 0).alias("valid"))
+
+
+@query(
+    "process_pages_ocr",
+    "v_cell v_table v_page v_head",
+    RUN.replace("SELECT document_id, 1 AS rank, 0 AS page, 0 AS ti, 'ocr_required_but_engine_not_configured' AS w FROM od WHERE needs_ocr",
+                "SELECT DISTINCT document_id, 1 AS rank, 0 AS page, 0 AS ti, 'ocr_needs_review' AS w FROM decisions WHERE needs_ocr AND (document_id + page_number) % 3 = 0")
+    + """ SELECT document_id, document_class, coalesce(needs_ocr, false) AS needs_ocr, CASE WHEN error IS NULL THEN 'PROCESSED' ELSE 'NEEDS_REVIEW' END AS status, error
+    FROM cz LEFT JOIN od USING (document_id) LEFT JOIN we USING (document_id)""",
+)
+def _(spark, d):
+    return processed(spark, d, ocr=True).documents
+
+
+@query(
+    "process_pages_sidecars",
+    "v_cell v_table v_head",
+    BOXES + """, sz AS (SELECT table_id, max("row") + 1 AS row_count, max("column") + 1 AS column_count FROM v_cell GROUP BY table_id),
+    bad AS (SELECT string_agg(w, '; ' ORDER BY path) AS w FROM (SELECT 'raw_table_sidecar_failed:' || table_id || '.json:' || CASE WHEN document_id % 13 = 0 THEN 'JSONDecodeError' ELSE 'KeyError' END AS w,
+      'dir/' || table_id || '.json' AS path FROM v_table WHERE document_id % 13 < 2 ORDER BY path COLLATE C LIMIT 8)),
+    al AS (SELECT document_id, table_id, page, table_index, table_id AS t0 FROM v_table n
+      WHERE CAST(right(table_id, 1) AS INTEGER) % 3 = 2 OR table_id NOT IN (SELECT table_id FROM boxes WHERE greatest(0, least(545, x1) - greatest(50, x0))
+        * greatest(0, least(395, y1) - greatest(105, y0)) / least(495 * 290, (x1 - x0) * (y1 - y0)) >= 0.8) OR NOT EXISTS (SELECT 1 FROM v_table r
+        WHERE r.document_id = n.document_id AND r.page = n.page AND r.table_index <> 1 AND r.document_id % 13 > 1 AND r.document_id % 3 <> 2)
+      UNION ALL SELECT document_id, document_id || ':p' || page || ':raw:t' || table_index, page, table_index, table_id FROM v_table WHERE document_id % 13 > 1 AND document_id % 3 <> 2)
+    SELECT document_id, al.table_id, page, table_index, row_count, column_count, contains((SELECT w FROM bad), 'sidecar') AS told
+    FROM al JOIN sz ON sz.table_id = t0 WHERE document_id IN (SELECT document_id FROM v_head)""",
+)
+def _(spark, d):
+    run = processed(spark, d, sidecars=True)
+    told = run.documents.select("document_id", F.col("error").contains("raw_table_sidecar_failed").alias("told"))
+    sizes = run.reconstruction.tables.select("document_id", "table_id", "page", "table_index", "row_count", "column_count")
+    return sizes.join(told, "document_id")
+
+
+@query(
+    "process_workbook",
+    "v_cell v_head",
+    SHEET + """ SELECT document_id, sheet_index + 1 AS page_number, min(sheet_name) AS text, 1.0::DOUBLE AS width, 'table' AS block_type, 0 AS block_index, min(sheet_name) AS sheet_name,
+      document_id || ':p' || (sheet_index + 1) || ':t0' AS table_id FROM sheet2 WHERE document_id IN (SELECT document_id FROM v_head) GROUP BY document_id, sheet_index""",
+)
+def _(spark, d):
+    run = process_run.process_workbooks(requested(spark, d), sheet_cells(spark, d))
+    at = lambda key: F.get_json_object("content", f"$.{key}").alias(key)
+    blocks = run.blocks.select("document_id", "page_number", "block_type", "block_index", at("sheet_name"), at("table_id"))
+    return run.pages.select("document_id", "page_number", "text", "width").join(blocks, ["document_id", "page_number"])
+
+
+@query(
+    "process_unsupported",
+    "v_head",
+    """SELECT document_id, CASE document_id % 4 WHEN 1 THEN 'NEEDS_REVIEW' ELSE 'FAILED' END AS status, CASE document_id % 4 WHEN 1 THEN 'xls_not_supported_use_xlsx' ELSE 'unsupported_file_type' END AS warning,
+      CASE document_id % 4 WHEN 1 THEN 'XLS is detected but only XLSX parsing is implemented' WHEN 2 THEN 'unsupported file type: unknown' ELSE 'unsupported file type: DOCX' END AS error
+    FROM v_head WHERE document_id % 4 <> 0""",
+)
+def _(spark, d):
+    kind = v.pick(F.col("document_id") % 4, ("PDF", "XLS", None, "DOCX"))
+    return process_run.unsupported_documents(requested(spark, d).withColumn("file_type", kind)).drop("document_class", "needs_ocr")
 
 
 @query(
