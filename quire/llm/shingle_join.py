@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.blocks import by_pair, in_blocks, spanning, square
-from quire.llm.common import WORD, Memo, components, row_key, table, written
+from quire.llm.common import WORD, components, row_key, table, written
 from quire.llm.registry import query
 
 WORDS, THRESHOLD = 5, 0.8
@@ -31,18 +30,12 @@ _word = re.compile(WORD)
 _odd_space = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")  # what str.split() takes for white space too
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> Memo:
-    return Memo(lambda word: xxhash.xxh3_64_intdigest(word), 500_000)
-
-
 def shingles(text: str | None) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct runs of five words; fewer words are one run, none give none."""
     words = _word.findall(text or "") if _odd_space.search(text or "") else (text or "").split()
     if not words:
         return np.empty(0, np.uint64)
-    known = _word_hashes()
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(WORDS, len(words))
     runs = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
@@ -82,26 +75,45 @@ def found_at(similarity: np.ndarray, depth: int) -> np.ndarray:
     return 1 - (1 - similarity ** depth) ** TREES
 
 
+def _agreement(own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The share of equal MinHash values of each signature with each other one."""
+    return np.stack([(others == row).mean(axis=1) for row in own])
+
+
+def _cross_edges(linked: np.ndarray, own: np.ndarray, others: np.ndarray) -> list[tuple[int, int]]:
+    """One linked pair for each two groups of the blocks that links within the blocks make anyway."""
+    group = [np.arange(len(m)) for m in (own, others)]
+    for labels, inside in zip(group, (own, others)):
+        for member, root in spanning(inside):
+            labels[member] = root
+    rows, columns = np.nonzero(linked)
+    pairs = np.unique(np.stack([group[0][rows], group[1][columns]], axis=1), axis=0, return_index=True)[1]
+    return [(int(rows[k]), int(columns[k])) for k in pairs]
+
+
 def _compare_signatures(depth: int):
     def compare(left: list[tuple], right: list[tuple]) -> Iterator[tuple]:
-        names = [r[0] for r in left + right]
+        left, right = sorted(left), sorted(right)  # so that the same members make the same edges in every tree
         own = np.frombuffer(b"".join(r[1] for r in left), "<u4").reshape(-1, TREES * DEPTH)
         others = np.frombuffer(b"".join(r[1] for r in right), "<u4").reshape(-1, TREES * DEPTH) if right else own
-        estimates = np.empty((len(own), len(others)))
-        found = expected = 0.0
+        estimates, found, expected = _agreement(own, others), 0.0, 0.0
         for i, row in enumerate(own):
-            equal = others == row
-            estimates[i] = equal.mean(axis=1)
             near = np.flatnonzero(estimates[i] >= THRESHOLD)
             near = near if right else near[near > i]
             if len(near):
                 # A pair is seen in every tree where it shares the prefix; each time it counts its part.
-                seen = np.maximum(equal[near].reshape(-1, TREES, DEPTH)[:, :, :depth].all(axis=2).sum(axis=1), 1)
+                equal = (others[near] == row).reshape(-1, TREES, DEPTH)
+                seen = np.maximum(equal[:, :, :depth].all(axis=2).sum(axis=1), 1)
                 found += float((1 / seen).sum())
                 expected += float((1 / seen / found_at(estimates[i][near], depth)).sum())
         linked = estimates >= ESTIMATE_FLOOR
-        for a, b in spanning(square(linked) if right else linked):
-            yield names[a], names[b], 0.0, 0.0
+        if right:
+            # Each block also meets itself elsewhere, so here only what connects the two is told.
+            within = [_agreement(m, m) >= ESTIMATE_FLOOR for m in (own, others)] if linked.any() else []
+            edges = [(left[i][0], right[j][0]) for i, j in _cross_edges(linked, *within)] if within else []
+        else:
+            edges = [(left[i][0], left[j][0]) for i, j in spanning(linked)]
+        yield from ((a, b, 0.0, 0.0) for a, b in edges)
         if found:
             yield None, None, found, expected
 
