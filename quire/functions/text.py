@@ -134,7 +134,7 @@ def normalize_ticker(col: Column) -> Column:
 
 
 def slug_document_id(
-    ticker: Column, title: Column, updated: Column, prefix: str = V.ID_PREFIX
+    ticker: Column, title: Column, updated: Column, prefix: str
 ) -> Column:
     slug = F.btrim(F.regexp_replace(F.lower(title), "[^a-zA-Z0-9]+", "-"), F.lit("-"))
     return F.concat_ws(

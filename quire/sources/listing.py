@@ -19,8 +19,8 @@ def read_listing_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def extract_disclosure_cards(
-    pages: DataFrame, ticker: str = "FPT", title_pattern: str = V.TITLE_SPAN,
-    link_pattern: str = V.DOWNLOAD_LINK, id_prefix: str = V.ID_PREFIX, host: str = V.DOWNLOAD_HOST,
+    pages: DataFrame, ticker: str, id_prefix: str, host: str, title_pattern: str = V.TITLE_SPAN,
+    link_pattern: str = V.DOWNLOAD_LINK,
 ) -> DataFrame:
     """One row per card: a title, the update date and the download links up to the next title.
 

@@ -58,7 +58,7 @@ def stream_run_metrics(
 
 
 STALE_SCHEMA = "job_id bigint, status string, finished_at timestamp, error string"
-_STATE = "status string, updated_ms bigint"
+_STATE = "status string, updated_ms bigint, event_id bigint"
 
 
 def _stale_after(seconds: int):
@@ -66,24 +66,24 @@ def _stale_after(seconds: int):
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            _, updated = state.get
+            status, updated, _ = state.get
             state.remove()
-            at = pd.Timestamp(updated + seconds * 1000, unit="ms")
-            yield pd.DataFrame({
-                "job_id": [key[0]], "status": ["FAILED"], "finished_at": [at],
-                "error": ["stale_processing_recovered"],
-            })
+            if status == "PROCESSING":
+                at = pd.Timestamp(updated + seconds * 1000, unit="ms")
+                yield pd.DataFrame({
+                    "job_id": [key[0]], "status": ["FAILED"], "finished_at": [at],
+                    "error": ["stale_processing_recovered"],
+                })
             return
-        status, updated = state.get if state.exists else (None, -1)
+        status, updated, event = state.get if state.exists else (None, -1, -1)
         for batch in batches:
             last = batch.sort_values(["ts", "event_id"]).iloc[-1]
-            at = int(last["ts"].value // 1_000_000)
-            if at >= updated:
-                status, updated = last["status"], at
-        state.update((status, updated))
-        # A finished job needs no timer; its state stays until the next event replaces it.
-        if status == "PROCESSING":
-            state.setTimeoutTimestamp(max(updated + seconds * 1000, state.getCurrentWatermarkMs() + 1))
+            at = int(last["ts"].value // 1_000_000), int(last["event_id"])
+            if at >= (updated, event):
+                status, (updated, event) = last["status"], at
+        state.update((status, updated, event))
+        # Every job gets a timer: one that has ended says nothing when it fires, and its state goes.
+        state.setTimeoutTimestamp(max(updated + seconds * 1000, state.getCurrentWatermarkMs() + 1))
         yield from ()
 
     return step
@@ -92,7 +92,11 @@ def _stale_after(seconds: int):
 def stream_stale_jobs(
     stream: DataFrame, stale_after_seconds: int = V.STALE_AFTER_SECONDS, delay: str = "1 minute"
 ) -> DataFrame:
-    """Jobs that stay PROCESSING for the limit without an event, closed as failed by a timer."""
+    """Jobs that stay PROCESSING for the limit without an event, closed as failed by a timer.
+
+    State is kept for the limit after a job's last event, whatever its status, so it doesn't grow with
+    the jobs ever seen.
+    """
     return (
         stream.withWatermark("ts", delay)
         .groupBy("job_id")

@@ -244,8 +244,6 @@ TITLE_SPAN = (
 )
 DOWNLOAD_LINK = r'href="(/api/download\?url=[^"]+)"'
 UPDATED_DATE = r"updated[^0-9]*(\d{1,2}/\d{1,2}/\d{4})"
-ID_PREFIX = "fpt-ir"
-DOWNLOAD_HOST = "https://fpt.com"
 
 # --- fixed values: source tiers and corpus targets ------------------------------------------------
 SOURCE_TIERS = {"HOSE": "A", "HNX": "A", "SSC": "A", "ISSUER_IR": "A"}

@@ -140,7 +140,7 @@ def test_cards(spark):
         card("Information disclosure of a board decision", "12/31/2030", "board"),
         card("Information disclosure, no file", "1/1/2031"), card("Information disclosure, no day", "tomorrow", "y"),
     ]) + "</ul>"
-    cards = listing.extract_disclosure_cards(spark.createDataFrame([(1, page)], "page_id int, html string"))
+    cards = listing.extract_disclosure_cards(spark.createDataFrame([(1, page)], "page_id int, html string"), "ABC", "abc-ir", "https://host.test")
     got = cards.orderBy("card_no").collect()
     assert [(c.scope, c.audit_status, [a.filename for a in c.attachments]) for c in got] == [
         ("standalone", "unknown", ["q3.pdf", "q3-en.pdf"]), ("consolidated", "audited", ["fy30.pdf"]),

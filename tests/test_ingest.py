@@ -135,6 +135,9 @@ def test_job_fold(spark):
     got = {r.job_id: (r.status, r.parser, r.started_at, r.finished_at, r.error) for r in J.advance_job_state(log).collect()}
     assert got == {1: ("FAILED", "p1", t[1], t[2], "boom"), 2: ("PROCESSING", "p2", t[3], None, None),
                    3: ("PROCESSING", "p", t[1], None, None)}
+    versioned = log.withColumns({"parser_version": F.when(F.col("event_id") == 2, "v2"), "artifact_id": F.col("job_id") * 10})
+    got = {r.job_id: (r.parser_version, r.artifact_id) for r in J.advance_job_state(versioned).collect()}
+    assert got == {1: ("v2", 10), 2: (None, 20), 3: (None, 30)}
     now = F.lit(t[5]).cast("timestamp_ntz")
     closed = J.stale_jobs(J.advance_job_state(log), now, stale_after_seconds=3 * 3600)
     assert {r.job_id for r in closed.where("stale").collect()} == {3}

@@ -43,7 +43,7 @@ def _(spark, d):
     title = F.regexp_extract("html", "<title>([^<]*)", 1)
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 300).cast("int"))
     return v.table(spark, d, "pages").select(
-        "page_id", X.slug_document_id(F.lit("fpt"), title, day).alias("document_id")
+        "page_id", X.slug_document_id(F.lit("fpt"), title, day, "fpt-ir").alias("document_id")
     )
 
 
