@@ -54,6 +54,7 @@ def running_start(
     rows of their own bucket, so a hot group is spread over its buckets. Group columns hold no nulls.
     """
     group, order = list(group), list(order)
+    df = df.repartition(*group, bucket)  # else rows that come dealt by group alone would stay together
     totals = df.groupBy(*group, bucket).agg(F.sum(weight).alias("_total"))
     over_group = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*group, bucket, F.coalesce(F.sum("_total").over(over_group), F.lit(0)).alias("_ahead"))
