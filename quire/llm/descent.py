@@ -22,6 +22,7 @@ TABLES, BUCKET = 6, 64
 AUDITED, TARGET_RECALL, MOST_ROUNDS = 512, 0.99, 8
 BLOCK = 512
 HALF_ERROR = 0.003  # half precision moves a cosine by less
+ANGLE_ERROR = 1e-6  # rounding of angles in double precision
 
 
 def unit(label: Column, vector: Column) -> Column:
@@ -198,6 +199,46 @@ def neighbour_graph(vertices: DataFrame) -> DataFrame:
     return graph
 
 
+def _angles(units: Column, others: Column) -> Column:
+    @F.arrow_udf("double")
+    def angles(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            pairs = [tuple(np.frombuffer(u.as_buffer(), "<f8") for u in pair) for pair in zip(*batch)]
+            yield pa.array([float(np.arccos(np.clip(a @ b, -1, 1))) for a, b in pairs], pa.float64())
+
+    return angles(units, others)
+
+
+def _meeting(left: list[tuple], right: list[tuple]) -> Iterator[tuple]:
+    """Edges that connect components (component, unit, radius) whose members may be linked by the triangle inequality."""
+    own, names = _matrix([r[1] for r in left]), [r[0] for r in left + right]
+    others, radii = _matrix([r[1] for r in right]) if right else own, np.array([r[2] for r in left + right])
+    reach = radii[:len(left), None] + (radii[len(left):] if right else radii) + np.arccos(THRESHOLD) + ANGLE_ERROR
+    linked = np.arccos(np.clip(own @ others.T, -1, 1)) <= reach
+    for i, root in spanning(square(linked) if right else linked):
+        yield names[i], names[root]
+
+
+def full_meetings(graph: DataFrame, groups: DataFrame, vertices: DataFrame) -> DataFrame:
+    """(a, b): edges between components with full lists that could be linked.
+
+    A node with ``NEIGHBOURS`` links or more may have further ones that its list has no place for, also into
+    another component of such nodes. Each of these components has a representative, and a radius: the largest
+    angle of a member to it. Pairs of representatives are bounded in blocks; what the bound doesn't rule out is
+    to be compared exactly. Links of other nodes are in their lists.
+    """
+    full = graph.where(F.col("score") >= THRESHOLD - HALF_ERROR).groupBy("node").count().where(F.col("count") >= NEIGHBOURS)
+    crowded = groups.join(full.select("node"), "node", "left_semi").select("component").distinct()
+    members = groups.join(crowded, "component", "left_semi")
+    units = vertices.select("node", "label", "unit")
+    heads = crowded.join(units, F.col("component") == F.col("node")).select("component", "label", F.col("unit").alias("head"))
+    radii = members.join(units.select("node", "unit"), "node").join(heads.select("component", "head"), "component").groupBy(
+        "component").agg(F.max(_angles(F.col("unit"), F.col("head"))).alias("radius"))
+    balls = written(heads.join(radii, "component").select("component", "label", "head", "radius"), "vector-balls")
+    return by_pair(in_blocks(balls, "label", "component", BLOCK).select("pair", "side", "component", "head", "radius"),
+                   _meeting, "a long, b long", ["a", "b"], [pa.int64()] * 2)
+
+
 def _verify(left: list[tuple], right: list[tuple]) -> Iterator[tuple]:
     """Links in double precision between two blocks: per node the rows it links with, and connecting edges."""
     nodes, weights = [r[0] for r in left + right], np.array([r[1] for r in left + right])
@@ -219,8 +260,8 @@ def vector_links(vectors: DataFrame) -> DataFrame:
 
     Two rows are linked if their labels are equal and their cosine, in double precision, is at least
     ``THRESHOLD``. Equal vectors of a label are one node with as many rows. Edges of the neighbour graph near
-    the threshold group the nodes; in each group all nodes are compared in blocks, so a saturated list costs no
-    link, and no pair of rows is made for each pair of a group. ``component_id`` is the smallest vec_id reachable.
+    the threshold group the nodes, and groups with full lists are joined where their radii allow a link between
+    them; in each group all nodes are compared in blocks, so a full list costs no link, and no pair of rows is made for each pair of a group. ``component_id`` is the smallest vec_id reachable.
     Rows whose label is null or whose vector is null, zero or holds null or non-finite components are alone.
     """
     rows = written(vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.size("embedding").alias("width"),
@@ -231,8 +272,11 @@ def vector_links(vectors: DataFrame) -> DataFrame:
     vertices = written(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn(
         "half", _half(F.col("unit"))), "vector-nodes")
     graph = neighbour_graph(vertices.select("node", "label", "unit", "half"))
-    near = graph.where(F.col("score") >= THRESHOLD - HALF_ERROR)
-    groups = components(near.select(F.col("node").alias("a"), F.col("near").alias("b")), "vector-groups")
+    near = graph.where(F.col("score") >= THRESHOLD - HALF_ERROR).select(F.col("node").alias("a"), F.col("near").alias("b"))
+    groups = components(near, "vector-groups")
+    meetings = written(full_meetings(graph, groups, vertices), "vector-meetings")
+    if meetings.limit(1).count():
+        groups = components(near.union(meetings), "vector-groups")
     members = groups.join(vertices.select("node", "rows", "unit"), "node")
     verified = written(by_pair(
         in_blocks(members, "component", "node", BLOCK).select("pair", "side", "node", "rows", "unit"), _verify,
