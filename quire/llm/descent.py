@@ -20,6 +20,8 @@ NEIGHBOURS, MOST_NEIGHBOURS = 12, 48
 PROPOSED = 4  # neighbours that a local join proposes to a member whose list isn't saturated
 TABLES, BUCKET = 6, 64
 AUDITED, TARGET_RECALL, MOST_ROUNDS = 512, 0.99, 8
+JUDGED, MOST_AUDITED = 100, 1 << 15  # linked nodes an audit needs, and nodes it takes at most to find them
+FEW_EDGES = 0.02
 BLOCK = 512
 HALF_ERROR = 0.003  # half precision moves a cosine by less
 ANGLE_ERROR = 1e-6  # rounding of angles in double precision
@@ -150,51 +152,96 @@ def _descend(graph: DataFrame, vertices: DataFrame, wanted: DataFrame) -> DataFr
     return _best(proposed.unionByName(graph.withColumn("fresh", F.lit(False))), wanted)
 
 
-def _audit(vertices: DataFrame, graph: DataFrame, sample: list) -> float:
-    """The share of the links of the sampled nodes, by brute force, that the graph holds on either side.
+def true_links(vertices: DataFrame, n: int) -> tuple[DataFrame, bool]:
+    """(node, near, few) links of sampled nodes by brute force, and whether they are enough to judge by.
 
-    Nodes whose list is full of links are left to the exact comparison, and count as held.
+    The sample starts with ``AUDITED`` nodes and grows until ``JUDGED`` of them have ``few`` links, less than
+    ``NEIGHBOURS``, it holds all nodes, or it has ``MOST_AUDITED``. Each task tells at most ``NEIGHBOURS`` links
+    of a node: this is enough for the audit, and large groups don't outweigh the others.
+    """
+    size = AUDITED
+    while True:
+        sample = vertices.orderBy(F.xxhash64("unit")).limit(size).select("node", "label", "unit").toArrow()
+        by_label: dict[str, list] = {}
+        for node, label, data in zip(*(c.to_pylist() for c in sample.columns)):
+            by_label.setdefault(label, []).append((node, data))
+        asked = {k: (np.array([i for i, _ in v]), b"".join(u for _, u in v)) for k, v in by_label.items()}
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            told = {label: np.zeros(len(names), int) for label, (names, _) in asked.items()}  # noqa: B023
+            for batch in batches:
+                rows: dict[str, list] = {}
+                for node, label, data in zip(*(c.to_pylist() for c in batch.columns)):
+                    if label in asked:  # noqa: B023
+                        rows.setdefault(label, []).append((node, data))
+                for label, here in rows.items():
+                    names, data = asked[label]  # noqa: B023
+                    others = np.frombuffer(data, "<f8").reshape(len(names), -1)
+                    for at in range(0, len(here), BLOCK):
+                        nodes = np.array([r[0] for r in here[at:at + BLOCK]])
+                        own = _matrix([r[1] for r in here[at:at + BLOCK]])
+                        for first in range(0, len(names), 8 * BLOCK):
+                            linked = own @ others[first:first + 8 * BLOCK].T >= THRESHOLD
+                            linked &= nodes[:, None] != names[first:first + 8 * BLOCK]
+                            so_far = told[label][first:first + 8 * BLOCK]
+                            linked &= linked.cumsum(axis=0) + so_far <= NEIGHBOURS
+                            so_far += linked.sum(axis=0)
+                            i, j = np.nonzero(linked)
+                            if len(i):
+                                yield pa.RecordBatch.from_arrays([pa.array(names[first + j]), pa.array(nodes[i])], ["node", "near"])
+
+        links = vertices.select("node", "label", "unit").mapInArrow(scan, "node long, near long")
+        counts = links.groupBy("node").agg(F.collect_list("near").alias("near"))
+        links = written(counts.select("node", F.explode("near").alias("near"), (F.size("near") < NEIGHBOURS).alias("few")), "audit-links")
+        known = size >= n or links.where("few").select("node").distinct().count() >= JUDGED
+        if known or size >= MOST_AUDITED:
+            return links, known
+        size = min(8 * size, MOST_AUDITED)
+
+
+def _least_share(links: DataFrame) -> float:
+    """The share of ``held`` ones of the audited links: of nodes with few or with many, whichever is less."""
+    shares = links.groupBy("few").agg(F.avg(F.coalesce("held", F.lit(False)).cast("double")).alias("share")).collect()
+    return min((r["share"] for r in shares), default=1.0)
+
+
+def _audit(links: DataFrame, graph: DataFrame) -> float:
+    """The share of ``links`` that the graph holds on either side.
+
+    Nodes whose list is full of links are left out here: ``_grouped`` judges them by the groups.
     """
-    by_label: dict[str, list] = {}
-    for row in sample:
-        by_label.setdefault(row["label"], []).append((row["node"], bytes(row["unit"])))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for node, label, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if asked := by_label.get(label):
-                    near = _matrix([u for _, u in asked]) @ np.frombuffer(data, "<f8")
-                    found += [(asked[i][0], node) for i in np.flatnonzero(near >= THRESHOLD) if asked[i][0] != node]
-            columns = list(zip(*found)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "near"])
-
-    truth = vertices.select("node", "label", "unit").mapInArrow(scan, "node long, near long")
     held = graph.select("node", "near").union(graph.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct()
     full = graph.where(F.col("score") >= THRESHOLD).groupBy("node").count().where(F.col("count") >= NEIGHBOURS).select("node")
-    row = truth.join(full, "node", "left_anti").join(held.withColumn("held", F.lit(1)), ["node", "near"], "left").agg(
-        F.count("*").alias("links"), F.count("held").alias("held")).first()
-    return row["held"] / row["links"] if row["links"] else 1.0
+    return _least_share(links.join(full, "node", "left_anti").join(held.withColumn("held", F.lit(True)), ["node", "near"], "left"))
+
+
+def _grouped(links: DataFrame, groups: DataFrame) -> float:
+    """The share of ``links`` with both ends in one group, where they are compared."""
+    ends = [groups.select(F.col("node").alias(c), F.col("component").alias(f"{c}_group")) for c in ("node", "near")]
+    return _least_share(links.join(ends[0], "node", "left").join(ends[1], "near", "left").withColumn(
+        "held", F.col("node_group") == F.col("near_group")))
 
 
-def neighbour_graph(vertices: DataFrame) -> DataFrame:
+def neighbour_graph(vertices: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """(node, near, score, fresh) for ``vertices`` (node, label, unit, half): neighbours of the same label only.
 
-    Starts from hyperplane buckets and descends until the audit, brute force for ``AUDITED`` nodes, finds
-    ``TARGET_RECALL`` of their links in the graph. A list with nothing but links is saturated: it may hide
-    more of them, so it is enlarged twofold each round, up to ``MOST_NEIGHBOURS``.
+    Starts from hyperplane buckets and descends until the graph holds ``TARGET_RECALL`` of the audited ``links``
+    and a round brings less than ``FEW_EDGES`` new edges, or for ``MOST_ROUNDS``. A list with nothing but links
+    is saturated: it may hide more of them, so it is enlarged twofold each round, up to ``MOST_NEIGHBOURS``.
     """
     n = vertices.count()
-    sample = vertices.orderBy(F.xxhash64("unit")).limit(AUDITED).select("node", "label", "unit").collect()
+    if links is None:
+        links = true_links(vertices, n)[0]
     graph = written(_first_graph(vertices, n), "descent-graph")
     wanted = graph.select("node", F.lit(NEIGHBOURS).alias("list")).limit(0)
     for turn in range(MOST_ROUNDS):
-        links = graph.where(F.col("score") >= THRESHOLD).groupBy("node").agg(F.count("*").alias("links"))
-        wanted = written(links.join(wanted, "node", "left").select(
+        full = graph.where(F.col("score") >= THRESHOLD).groupBy("node").agg(F.count("*").alias("links"))
+        wanted = written(full.join(wanted, "node", "left").select(
             "node", "links", F.coalesce("list", F.lit(NEIGHBOURS)).alias("list")).where("links >= list").select(
             "node", F.least(F.col("list") * 2, F.lit(MOST_NEIGHBOURS)).alias("list")), "descent-lists")
         graph = written(_descend(graph, vertices, wanted), "descent-graph")
-        if _audit(vertices, graph, sample) >= TARGET_RECALL:
+        edges = graph.agg(F.count("*").alias("all"), F.count_if("fresh").alias("fresh")).first()
+        if edges["fresh"] <= FEW_EDGES * edges["all"] and _audit(links, graph) >= TARGET_RECALL:
             break
     return graph
 
@@ -255,13 +302,26 @@ def _verify(left: list[tuple], right: list[tuple]) -> Iterator[tuple]:
         yield nodes[i], nodes[roots.get(int(i), int(i))], int(links[i])
 
 
+def link_groups(vertices: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component): nodes that edges of the neighbour graph near the threshold, or full lists, bring together."""
+    graph = neighbour_graph(vertices, links)
+    near = graph.where(F.col("score") >= THRESHOLD - HALF_ERROR).select(F.col("node").alias("a"), F.col("near").alias("b"))
+    groups = components(near, "vector-groups")
+    meetings = written(full_meetings(graph, groups, vertices), "vector-meetings")
+    if meetings.limit(1).count():
+        groups = components(near.union(meetings), "vector-groups")
+    return groups
+
+
 def vector_links(vectors: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding, label).
 
     Two rows are linked if their labels are equal and their cosine, in double precision, is at least
     ``THRESHOLD``. Equal vectors of a label are one node with as many rows. Edges of the neighbour graph near
     the threshold group the nodes, and groups with full lists are joined where their radii allow a link between
-    them; in each group all nodes are compared in blocks, so a full list costs no link, and no pair of rows is made for each pair of a group. ``component_id`` is the smallest vec_id reachable.
+    them; in each group all nodes are compared in blocks, so a full list costs no link, and no pair of rows is
+    made for each pair of a group. Where the audit finds too few links to judge the search, or too many of them in
+    no group, all nodes of a label are compared in blocks instead. ``component_id`` is the smallest vec_id reachable.
     Rows whose label is null or whose vector is null, zero or holds null or non-finite components are alone.
     """
     rows = written(vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.size("embedding").alias("width"),
@@ -271,12 +331,13 @@ def vector_links(vectors: DataFrame) -> DataFrame:
         F.count("*").alias("rows"), F.min("vec_id").alias("first_id"), F.first("label").alias("label"), F.first("unit").alias("unit"))
     vertices = written(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn(
         "half", _half(F.col("unit"))), "vector-nodes")
-    graph = neighbour_graph(vertices.select("node", "label", "unit", "half"))
-    near = graph.where(F.col("score") >= THRESHOLD - HALF_ERROR).select(F.col("node").alias("a"), F.col("near").alias("b"))
-    groups = components(near, "vector-groups")
-    meetings = written(full_meetings(graph, groups, vertices), "vector-meetings")
-    if meetings.limit(1).count():
-        groups = components(near.union(meetings), "vector-groups")
+    searched = vertices.select("node", "label", "unit", "half")
+    audited, known = true_links(searched, vertices.count())
+    if known:
+        groups = link_groups(searched, audited)
+        known = _grouped(audited, groups) >= TARGET_RECALL
+    if not known:  # links too rare to judge the search, or too many missed
+        groups = vertices.select("node", F.col("label").alias("component"))
     members = groups.join(vertices.select("node", "rows", "unit"), "node")
     verified = written(by_pair(
         in_blocks(members, "component", "node", BLOCK).select("pair", "side", "node", "rows", "unit"), _verify,

@@ -92,6 +92,28 @@ def test_full_lists_hide_no_link_between_groups(spark):
     assert sorted(map(tuple, descent.vector_links(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr) == want
 
 
+def test_rare_links_are_found(spark, monkeypatch):
+    """Pairs far apart in a cone of crowded directions; the first sample holds none of their links."""
+    for name, value in (("AUDITED", 2), ("MOST_AUDITED", 16), ("BUCKET", 4), ("TABLES", 1)):
+        monkeypatch.setattr(descent, name, value, raising=False)
+    rng = np.random.default_rng(11)
+    centre = 3 * np.eye(48)[0]
+    rows = [(i, (centre + rng.standard_normal(48)).astype("f4").tolist(), 1) for i in range(1500)]
+    rows += [(5000 + i, (np.array(rows[i][1]) + 0.02 * rng.standard_normal(48)).astype("f4").tolist(), 1) for i in range(12)]
+    assert sorted(map(tuple, descent.vector_links(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr) == brute_links(rows)
+
+
+def test_an_empty_audit_is_not_known(spark, monkeypatch):
+    monkeypatch.setattr(descent, "AUDITED", 2)
+    monkeypatch.setattr(descent, "MOST_AUDITED", 4)
+    units = np.eye(40)
+    vertices = spark.createDataFrame([(i, "1", u.tobytes()) for i, u in enumerate(units)], "node long, label string, unit binary")
+    links, known = descent.true_links(vertices, 40)
+    assert links.count() == 0 and not known
+    monkeypatch.setattr(descent, "MOST_AUDITED", 64)
+    assert descent.true_links(vertices, 40)[1]
+
+
 def test_no_vectors(spark):
     nothing = spark.createDataFrame([], SCHEMA)
     assert descent.vector_links(nothing).count() == 0
