@@ -75,6 +75,11 @@ def found_at(similarity: np.ndarray, depth: int) -> np.ndarray:
     return 1 - (1 - similarity ** depth) ** TREES
 
 
+def first_depth() -> int:
+    """The longest prefix by which a pair at the threshold is found with ``TARGET_RECALL``."""
+    return max(d for d in range(SHORTEST, DEPTH + 1) if found_at(THRESHOLD, d) >= TARGET_RECALL)
+
+
 def _agreement(own: np.ndarray, others: np.ndarray) -> np.ndarray:
     """The share of equal MinHash values of each signature with each other one."""
     return np.stack([(others == row).mean(axis=1) for row in own])
@@ -124,10 +129,11 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
     """(node, component): sets (set, signature) that a chain of candidate pairs connects.
 
     Each tree of the forest sorts the sets by its own MinHash values; sets that share a prefix are candidates
-    and are compared by signature. Prefixes start at full depth and are shortened until the links seen, each
-    weighed by its chance to be seen at this depth, are ``TARGET_RECALL`` of those to be expected.
+    and are compared by signature. Prefixes start at the depth where a pair at the threshold is found with
+    ``TARGET_RECALL``, whatever other pairs there are, and are shortened until the links seen, each weighed by its
+    chance to be seen at this depth, are ``TARGET_RECALL`` of those to be expected.
     """
-    for depth in range(DEPTH, SHORTEST - 1, -1):
+    for depth in range(first_depth(), SHORTEST - 1, -1):
         prefix = lambda t: F.xxhash64(F.lit(t), F.substring("signature", 4 * DEPTH * t + 1, 4 * depth))  # noqa: B023, E731
         codes = sets.select("set", F.explode(F.array(*(prefix(t) for t in range(TREES)))).alias("code"))
         shared = codes.join(codes.groupBy("code").agg(F.count("*").alias("n")).where("n > 1"), "code").select("code", "set")
