@@ -13,7 +13,7 @@ from quire.llm.registry import query
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-#: Runs in mixed case with digits, which are no base kind; they are spans only if one owner has them.
+#: Runs in mixed case with digits, which are no base kind; they are added spans.
 MIXED = r"[A-Za-z0-9_+/-]{24,}"
 KINDS = ("assign", "access", "hex", "mixed")
 SHORTEST_VALUE = 6
@@ -83,8 +83,8 @@ def judged_spans(docs: DataFrame, kept: list[str], owner: str = "source", reposi
 
     All values found in the corpus are counted by distinct owners and repositories. What at least
     ``EXAMPLE_OWNERS`` owners and ``EXAMPLE_REPOSITORIES`` repositories hold is a widely copied example; what
-    is left looks live. Mixed runs are added as spans if only one owner has them. A missing owner or
-    repository counts as one of its own. A null text has no spans; rows without any have null in ``spans``.
+    is left looks live. Mixed runs are added as spans and judged by the same bound. A missing owner or repository
+    counts as one of its own. A null text has no spans; rows without any have null in ``spans``.
     Rows are told apart by a number that is written with them, so null and repeated ids are fine.
     """
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0"))
@@ -96,11 +96,10 @@ def judged_spans(docs: DataFrame, kept: list[str], owner: str = "source", reposi
     values = found.where((F.size("base") > 0) | (F.size("mixed") > 0)).select(
         "row", "owner", "repository", F.explode(F.concat("base", "mixed")).alias("span")
     ).withColumn("digest", F.sha2("span.value", 256))
-    judged = values.join(ownership(values), "digest").select("row", "owners", F.struct(
+    judged = values.join(ownership(values), "digest").select("row", F.struct(
         "span.start", "span.kind", "span.end", "span.value",
         ((F.col("owners") >= EXAMPLE_OWNERS) & (F.col("repositories") >= EXAMPLE_REPOSITORIES)).alias("example"),
     ).alias("span"))
-    judged = judged.where((F.col("span.kind") < KINDS.index("mixed")) | (F.col("owners") == 1))
     per_row = judged.groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("spans"))
     return found.join(per_row, "row", "left").select("doc", "base", "spans")
 

@@ -134,6 +134,16 @@ def secret_rows():
         (950, own, "en", "s1", 1), (951, own, "en", "s1", 1), (None, "password=abcdefg", None, None, 1)]
 
 
+def test_mixed_runs_of_several_owners_are_judged(spark):
+    two, three = "Zz9" * 9, "Yy8" * 9
+    rows = [(i, f"x {two} y", "en", f"s{i}", 1) for i in range(2)] + [(10 + i, f"x {three} y", "en", f"s{i}", 1) for i in range(3)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: (r.spans, r.n_live, r.n_examples) for r in secrets.secret_scan(docs).collect()}
+    assert got[0] == got[1] == ("mixed:2:29", 1, 0) and got[10] == got[12] == ("mixed:2:29", 0, 1)
+    texts = {r.doc_id: r.text for r in secrets.redact_secrets(docs).collect()}
+    assert texts[1] == "x [SECRET] y" and texts[11] == "x [EXAMPLE] y"
+
+
 def test_spans_equal_python(spark):
     rows = awkward_rows() + secret_rows()
     docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in ("base", "spans", "row", "doc", "mixed")})
