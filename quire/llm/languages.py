@@ -30,7 +30,7 @@ _LETTER = None
 def _letters() -> np.ndarray:
     global _LETTER
     if _LETTER is None:
-        _LETTER = np.fromiter((chr(i).isalpha() for i in range(1 << 16)), bool, 1 << 16)
+        _LETTER = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
     return _LETTER
 
 
@@ -39,7 +39,7 @@ def feature_counts(text: str) -> np.ndarray:
     total, letters, carried = np.zeros(FEATURES, np.int64), _letters(), np.zeros(1, np.uint32)
     for at in range(0, len(text), PIECE):
         codes = np.frombuffer(text[at:at + PIECE].lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        codes = np.where((codes < 1 << 16) & letters[np.minimum(codes, 0xFFFF)], codes, 0)
+        codes = np.where(letters[codes], codes, 0)
         codes = np.concatenate([carried, codes] if at + PIECE < len(text) else [carried, codes, [0]]).astype(np.uint32)
         keep = np.ones(len(codes), bool)
         keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)  # one boundary, however long

@@ -244,6 +244,12 @@ def test_no_rows_make_no_shards(spark):
     assert sharding.interleave(empty(spark)).count() == 0
 
 
+def test_letters_beyond_the_basic_plane_are_evidence():
+    for text in ("\U00020000\U00020001\U00020002", "\U0001E900\U0001E901", "\U00010330\U00010331", "\U0001D400"):
+        assert languages.feature_counts(text).any()
+    assert not languages.feature_counts("\U0001F600 12").any()
+
+
 def mixed_language_rows():
     rng = random.Random(8)
     rows = [(2000 + i, " ".join(sentence(rng, ("en", "fr", "de")[i % 3]) for _ in range(4)), ("en", "fr", "de")[i % 3], "a", 1) for i in range(240)]
