@@ -218,19 +218,29 @@ def records(source: pa.NativeFile, size: int, tests: list[D.Filter] = (), payloa
         at = member.after(end + length)
 
 
+#: Tests that a list of conditions may name.
+CONDITIONS = {
+    "=": D.EqualTo, "<>": lambda c, v: D.Not(D.EqualTo(c, v)), "in": lambda c, v: D.In(c, tuple(v)), ">": D.GreaterThan,
+    ">=": D.GreaterThanOrEqual, "<": D.LessThan, "<=": D.LessThanOrEqual, "starts": D.StringStartsWith,
+    "ends": D.StringEndsWith, "contains": D.StringContains, "null": lambda c, _: D.IsNull(c),
+    "not null": lambda c, _: D.IsNotNull(c),
+}
+
+
+def _condition(column: str, operation: str, value: object = None) -> D.Filter:
+    found = CONDITIONS[operation]((column,), value)
+    if _test(found) is None:
+        raise ValueError(f"{column!r} is no column of a header")
+    return found
+
+
 class WarcReader(D.DataSourceReader):
     def __init__(self, options: dict):
-        self.path, self.tests = options["path"], []
+        self.path = options["path"]
+        self.tests = [_condition(*c) for c in json.loads(options.get("conditions", "[]"))]
         self.payload = options.get("payload", "true").lower() != "false"
         self.partition_bytes = int(options.get("partitionBytes", PARTITION_BYTES))
 
-    def pushFilters(self, filters: list[D.Filter]) -> Iterator[D.Filter]:
-        for item in filters:
-            if _test(item) is None:
-                yield item
-            else:
-                self.tests.append(item)
-
     def partitions(self) -> list[Archives]:
         """Committed files, dealt into stretches of about ``partitionBytes``."""
         store, root = _opened(self.path)
@@ -264,6 +274,17 @@ class WarcReader(D.DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, ARROW_SCHEMA)
 
 
+class PushingReader(WarcReader):
+    """Takes the filters of the query too, where they are on header columns."""
+
+    def pushFilters(self, filters: list[D.Filter]) -> Iterator[D.Filter]:
+        for item in filters:
+            if _test(item) is None:
+                yield item
+            else:
+                self.tests.append(item)
+
+
 def _header_value(text: str) -> str:
     """``text`` on one line: what could end a header, or is no UTF-8 text, is escaped by percent signs."""
     return "".join(f"%{ord(c):02X}" if c < " " or c == "\x7f" else c for c in text)
@@ -346,8 +367,11 @@ class WarcWriter(D.DataSourceArrowWriter):
 class WarcSource(D.DataSource):
     """``spark.read.format("quire_warc").option("path", folder)``: a row per record.
 
-    ``path`` is in a store that Arrow opens (file, hdfs, s3, gs). Equality, ranges, lists, string and null tests
-    on header columns are pushed down. Options: ``payload`` (false: headers only), ``partitionBytes``, ``fileBytes``.
+    ``path`` is in a store that Arrow opens (file, hdfs, s3, gs). Options: ``conditions``, a JSON list of tests of
+    header columns that a record must pass; ``payload`` (false: headers only); ``partitionBytes``; ``fileBytes``; and
+    ``pushdown``: true takes the query's own filters on header columns as well. Spark keeps one set of pushed
+    filters for a loaded table, the last one, so with ``pushdown`` load a table for each scan; ``conditions`` stay
+    with the table whatever is done with it.
     """
 
     @classmethod
@@ -358,15 +382,17 @@ class WarcSource(D.DataSource):
         return READ_SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(dict(self.options) | {"payload": self.options.get("payload", "true")})
+        options = {name: self.options[name] for name in ("path", "conditions", "payload", "partitionBytes", "pushdown")
+                   if name in self.options}
+        return (PushingReader if options.get("pushdown", "").lower() == "true" else WarcReader)(options)
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter({name: self.options[name] for name in ("path", "fileBytes") if name in self.options})
 
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
-    spark.conf.set(PUSHDOWN, "true")
+    spark.conf.set(PUSHDOWN, "true")  # Spark refuses a reader that can take filters while this is off.
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -420,9 +446,12 @@ def archive_pages(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     ).write.format(FORMAT).mode("append").option("path", path).save()
 
 
-def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, *conditions: tuple, payload: bool = True) -> DataFrame:
+    """Records that pass all ``conditions``, (column, operation, value) of header columns, e.g.
+    ``("record_type", "in", ["response", "revisit"])``. Payloads of the others are not decoded."""
     register(spark)
-    return spark.read.format(FORMAT).option("path", path).option("payload", str(payload).lower()).load()
+    return (spark.read.format(FORMAT).option("path", path).option("conditions", json.dumps(conditions))
+            .option("payload", str(payload).lower()).load())
 
 
 def archived_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -431,7 +460,7 @@ def archived_pages(spark: SparkSession, path: str) -> DataFrame:
     A response's size and digest are taken from the payload read back, and must be those of its header; a revisit's
     are those that it states, as it has no payload.
     """
-    found = read_archive(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    found = read_archive(spark, path, ("record_type", "in", ["response", "revisit"]))
     stated = F.regexp_replace("payload_digest", "^sha1:", "")
     held = F.when(F.col("payload").isNull(), stated).otherwise(base32_sha1(F.col("payload")))
     field = lambda name: F.try_element_at("headers", F.lit(name)).cast("long")
