@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import table, written
 from quire.llm.registry import query
+from quire.session import new_shared_path
 
 LONGEST, LEAST_COUNT, TOP = 5, 100, 2000
 #: Words of a block, and bits of a map. Both bound memory whatever the corpus; neither changes a result.
-BLOCK_BYTES, MAP_BITS = 12 << 20, 1 << 26
+BLOCK_BYTES, MAP_BITS = 3 << 20, 1 << 26
+#: Blocks are long rows, so a reader must not meet many at once.
+_FEW_ROWS = {"compression": "zstd", "parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 #: The first frontier holds words of up to this many times the least count.
 FIRST_FRONTIER = 16
 #: Characters that end a piece; they become one mark, which no word can hold.
@@ -79,9 +82,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray]]:
     """(language, words, hashes, codes) of each block."""
     for batch in batches:
-        for row in batch.to_pylist():
-            yield (row["lang"], pa.array(row["words"].split(b" "), pa.binary()), np.frombuffer(row["hashes"], np.uint64),
-                   np.frombuffer(row["codes"], "<i4"))
+        for lang, words, hashes, codes in zip(*batch.columns, strict=True):
+            yield (lang.as_py(), pa.array(words.as_py().split(b" "), pa.binary()),
+                   np.frombuffer(hashes.as_buffer(), np.uint64), np.frombuffer(codes.as_buffer(), "<i4"))
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +222,9 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP, long
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    blocks = written(texts.where("octet_length(text) > 0").mapInArrow(_blocks, _BLOCK), "phrase-blocks")
+    path = new_shared_path(spark, "phrase-blocks")
+    texts.where("octet_length(text) > 0").mapInArrow(_blocks, _BLOCK).write.options(**_FEW_ROWS).parquet(path)
+    blocks = spark.read.schema(_BLOCK).parquet(path)
     words = written(blocks.select("lang", "words", "hashes", "codes").mapInArrow(
         _word_counts, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "word-counts")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"), F.max("f").alias("largest"))
