@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import cut_lineage
+from quire.session import forget, stored, stored_by
 
 
 def resolve_version(batch: DataFrame, state: DataFrame) -> DataFrame:
@@ -63,40 +64,97 @@ def link_predecessors(batch: DataFrame, state: DataFrame | None = None) -> DataF
 def lineage_closure(edges: DataFrame) -> DataFrame:
     """Root and depth of every node of a parent forest, from (id, parent_publication_id).
 
-    Pointer jumping: each round doubles the distance a pointer covers, so a chain of depth n takes
-    log2(n) rounds. Rows that have reached a root leave the loop; only the others are joined and
-    checkpointed again. The nodes above one that takes long are reached in earlier rounds, so a round
-    that reaches none proves that the rest goes round a cycle, or hangs on one: null root. A parent
-    that has no row is a root.
+    A parent that has no row is a root. Nodes on a cycle, or that hang on one, have a null root.
     """
+    edges = stored(edges.select("id", "parent_publication_id"), "lineage-edges")
     parent = F.col("parent_publication_id")
-    ids = edges.select(F.col("id").alias("known"))
-    start = cut_lineage(
-        edges.where(parent.isNotNull()).join(ids, parent == F.col("known"), "left").select(
-            "id", parent.alias("ancestor"), F.lit(1).cast("bigint").alias("depth"),
-            F.col("known").isNull().alias("done"),
-        )
-    )
-    roots = edges.where(parent.isNull()).select(
-        "id", F.col("id").alias("root_id"), F.lit(0).cast("bigint").alias("depth")
-    )
-    found = lambda rows: rows.where("done").select("id", F.col("ancestor").alias("root_id"), "depth")
-    finished, active = roots.unionByName(found(start)), start.where("NOT done").drop("done")
-    while not active.isEmpty():
-        # An ancestor is either finished, and gives its root, or moves on itself.
-        ahead = finished.select(F.col("id").alias("ancestor"), F.col("root_id").alias("next"),
-                                F.col("depth").alias("more"), F.lit(True).alias("done"))
-        ahead = ahead.unionByName(active.select(
-            F.col("id").alias("ancestor"), F.col("ancestor").alias("next"), F.col("depth").alias("more"),
-            F.lit(False).alias("done")))
-        moved = cut_lineage(active.join(ahead, "ancestor").select(
-            "id", F.col("next").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"), "done"))
-        if moved.where("done").isEmpty():
+    above = edges.select(F.col("id").alias("known"), parent.alias("above"))
+    start = edges.where(parent.isNotNull()).join(above, parent == F.col("known"), "left").select(
+        "id", parent.alias("ancestor"), F.lit(1).cast("bigint").alias("depth"), F.col("above").isNull().alias("done"))
+    roots = edges.where(parent.isNull()).select("id", F.col("id").alias("root_id"), F.lit(0).cast("bigint").alias("depth"))
+    return roots.unionByName(_closed(start))
+
+
+def _closed(start: DataFrame) -> DataFrame:
+    """(id, root_id, depth) of rows (id, ancestor, depth, done) by pointer jumping.
+
+    The ancestor of a row that is done is its root; that of an open one is a row of ``start``. Each round
+    doubles the distance a pointer covers, so a chain of depth n takes log2(n) rounds. A round moves the open
+    rows only. Their distinct ancestors are looked up among the rows found in each earlier round, which lie
+    in buckets of their ids and are not shuffled again; an ancestor of very many rows is one row there, and the
+    join that hands its step out can be split. The nodes above one that takes long are reached in earlier
+    rounds, so a round that reaches none proves that the rest goes round a cycle, or hangs on one: null root.
+    """
+    spark = start.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables, paths = [], []
+
+    def laid(rows: DataFrame) -> tuple[int, int]:
+        table, path = stored_by(rows.select("id", "ancestor", "depth", "done"), "lineage-round", ["id"], parts)
+        tables.append(table)
+        paths.append(path)
+        counts = spark.table(table).groupBy("done").count().collect()
+        return sum(r["count"] for r in counts if r["done"]), sum(r["count"] for r in counts if not r["done"])
+
+    _, left = laid(start)
+    while left:
+        active = spark.table(tables[-1]).where("NOT done")
+        wanted = active.select(F.col("ancestor").alias("id")).distinct().repartition(parts, "id")
+        # An ancestor is either found in some round, and gives its root, or is open and moves on itself.
+        steps = [wanted.join(rows, "id") for rows in (*(spark.table(t).where("done") for t in tables), active)]
+        ahead = reduce(DataFrame.unionByName, steps).select(
+            F.col("id").alias("via"), F.col("ancestor").alias("next"), F.col("depth").alias("more"), F.col("done").alias("ends"))
+        found, left = laid(active.join(ahead, F.col("ancestor") == F.col("via")).select(
+            "id", F.col("next").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done")))
+        if not found:
             break
-        finished, active = finished.unionByName(found(moved)), moved.where("NOT done").drop("done")
-    cyclic = active.select("id", F.lit(None).cast(edges.schema["id"].dataType).alias("root_id"),
-                           F.lit(None).cast("bigint").alias("depth"))
-    return finished.unionByName(cyclic)
+    forget(spark, tables)
+    schema = start.select("id", "ancestor", "depth", "done").schema
+    rounds = [spark.read.schema(schema).parquet(path) for path in paths]
+    kind = start.schema["id"].dataType
+    cyclic = rounds[-1].where("NOT done").select(
+        "id", F.lit(None).cast(kind).alias("root_id"), F.lit(None).cast("bigint").alias("depth"))
+    done = [rows.where("done").select("id", F.col("ancestor").alias("root_id"), "depth") for rows in rounds]
+    return reduce(DataFrame.unionByName, [*done, cyclic])
+
+
+def extend_closure(labels: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Union of an old label forest with a batch of edges: labels of the batch's ids, and the roots that moved.
+
+    ``labels`` is (id, root_id, depth) as `lineage_closure` gives it; ``edges`` (id, parent_publication_id) has the
+    new ids, and old roots that have got a parent. Parents are looked up in the labels, so a batch edge leads
+    to a root, or to another row of the batch; only these edges are closed. The labels below a root that
+    moved are not touched: ``moved`` (id, root_id, depth) tells where it went and how deep it lies there, and
+    `moved_labels` brings it in. The cost is the batch's, with one join of its parents to the labels. A batch that
+    closes a cycle, or hangs on one, has null roots, and so has what hangs on it.
+    """
+    edges = stored(edges.select("id", "parent_publication_id"), "batch-edges")
+    parent = F.col("parent_publication_id")
+    named = edges.where(parent.isNotNull())
+    wanted = named.select(parent.alias("id")).distinct()
+    known = labels.join(wanted, "id", "left_semi").select(
+        F.col("id").alias("label_of"), F.col("root_id").alias("label_root"), F.col("depth").alias("label_depth"))
+    # Where a parent's chain leads before the batch: to itself if it is new or unknown, else to its root.
+    led = named.join(known, parent == F.col("label_of"), "left").select(
+        "id", F.when(F.col("label_of").isNull(), parent).otherwise(F.col("label_root")).alias("ancestor"),
+        (F.coalesce("label_depth", F.lit(0)) + 1).cast("bigint").alias("depth"))
+    hanging = led.where("ancestor IS NULL").select("id", "ancestor", F.lit(None).cast("bigint").alias("depth"), F.lit(True).alias("done"))
+    onward = named.select(F.col("id").alias("onward"))
+    start = led.where("ancestor IS NOT NULL").join(onward, F.col("ancestor") == F.col("onward"), "left").select(
+        "id", "ancestor", "depth", F.col("onward").isNull().alias("done"))
+    roots = edges.where(parent.isNull()).select("id", F.col("id").alias("root_id"), F.lit(0).cast("bigint").alias("depth"))
+    closed = stored(roots.unionByName(_closed(start.unionByName(hanging))), "batch-labels")
+    return closed, closed.join(named.select("id"), "id", "left_semi")
+
+
+def moved_labels(labels: DataFrame, moved: DataFrame) -> DataFrame:
+    """Labels with the moves of their roots: one hop, whatever the depth, as moves lead to final roots."""
+    to = moved.select(F.col("id").alias("root_id"), F.col("root_id").alias("to_root"), F.col("depth").alias("more"),
+                      F.lit(True).alias("went"))
+    went = F.col("went").isNotNull()
+    return labels.join(to, "root_id", "left").select(
+        "id", F.when(went, F.col("to_root")).otherwise(F.col("root_id")).alias("root_id"),
+        F.when(went, F.col("depth") + F.col("more")).otherwise(F.col("depth")).alias("depth"))
 
 
 def _parents(publications: DataFrame) -> DataFrame:
@@ -143,16 +201,12 @@ def as_of_versions(publications: DataFrame, as_of: Sequence[str] | DataFrame) ->
 
     Rows published later are invisible. A row without a publication time counts from its date-only
     update. A list of dates is a parameter: one conditional aggregate each, one pass. A table
-    (root_id, as_of) asks for each of its lineages at its own times; it is joined by lineage, and the
-    newest visible row of each request is combined before the shuffle.
+    (root_id, as_of) asks for each of its lineages at its own times; see `_as_of_table`.
     """
     known = F.coalesce(F.col("published_at"), F.col("source_updated_date").cast("timestamp_ntz"))
     order = F.struct(known, F.col("id").cast("string"), F.col("id").alias("id"))
     if isinstance(as_of, DataFrame):
-        visible = publications.join(as_of.select("root_id", "as_of").distinct(), "root_id").where(
-            known <= F.col("as_of").cast("timestamp_ntz"))
-        return visible.groupBy("root_id", "as_of").agg(F.max(order).alias("newest")).select(
-            "root_id", "as_of", "newest.id")
+        return _as_of_table(publications.where(known.isNotNull() & F.col("root_id").isNotNull()), known, as_of)
     picks = [
         F.max(F.when(known <= F.lit(day).cast("timestamp_ntz"), order)).alias(f"at_{i}")
         for i, day in enumerate(as_of)
@@ -165,6 +219,32 @@ def as_of_versions(publications: DataFrame, as_of: Sequence[str] | DataFrame) ->
     return chosen.select("root_id", F.inline(rows)).where("id IS NOT NULL")
 
 
+def _as_of_table(publications: DataFrame, known: Column, asked: DataFrame) -> DataFrame:
+    """Newest version at or before the time of each request, without a product of versions and requests.
+
+    Versions and requests lie in one order of lineage and time, dealt by ranges of it, so one lineage of very
+    many rows is cut by time. In each range a request takes the last version before it; one that comes
+    before the first version of its range takes what the earlier ranges of its lineage ended with, of
+    which there is a row per lineage and range.
+    """
+    newest = publications.groupBy("root_id", known.alias("at")).agg(
+        F.max(F.struct(F.col("id").cast("string").alias("text"), F.col("id").alias("id"))).alias("newest"))
+    versions = newest.select("root_id", "at", F.col("newest.id").alias("id"), F.lit(None).cast(asked.schema["as_of"].dataType).alias("as_of"))
+    requests = asked.where("root_id IS NOT NULL").select("root_id", "as_of").distinct().select(
+        "root_id", F.col("as_of").cast("timestamp_ntz").alias("at"), F.lit(None).cast(publications.schema["id"].dataType).alias("id"), "as_of")
+    order = ["root_id", "at", F.col("id").isNull()]
+    dealt = stored(versions.unionByName(requests.where("at IS NOT NULL")).repartitionByRange(*order).withColumn(
+        "part", F.spark_partition_id()), "as-of-ranges")
+    within = Window.partitionBy("root_id", "part").orderBy("at", F.col("id").isNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    seen = dealt.withColumn("seen", F.last("id", ignorenulls=True).over(within)).where("as_of IS NOT NULL")
+    ends = dealt.groupBy("root_id", "part").agg(F.max_by("id", F.when(F.col("id").isNotNull(), F.col("at"))).alias("end"))
+    earlier = Window.partitionBy("root_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("root_id", "part", F.last("end", ignorenulls=True).over(earlier).alias("carried"))
+    found = seen.join(carried, ["root_id", "part"]).select("root_id", "as_of", F.coalesce("seen", "carried").alias("id"))
+    return found.where("id IS NOT NULL")
+
+
 def prefer_source_tier(
     df: DataFrame, subject: Sequence[str], tiers: dict[str, str], better: str = "A", worse: str = "C"
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.operators import ingest as I
 from quire.operators import lineage as L
 from quire.operators import upserts as U
+from quire.session import stored
 
 
 def publish(state: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
@@ -17,7 +18,7 @@ def publish(state: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     worked out anew and kept beside the stored status, so a late predecessor clears it.
     """
     merged = U.upsert_publications(state, batch, now)
-    linked = L.link_predecessors(merged)
+    linked = stored(L.link_predecessors(merged), "linked-publications")
     return L.latest_leaf_flag(linked, L.lineage_closure(linked))
 
 

@@ -49,6 +49,30 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what is used several times is worked out once."""
+    path = new_shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_by(df: DataFrame, name: str, keys: list[str], buckets: int) -> tuple[str, str]:
+    """``df`` written to the shared folder in buckets of ``keys``: (table, path).
+
+    Joins on the keys read the table as it lies, without a shuffle. It is a name in the session's catalog for
+    files that are its own; `forget` takes the name away, and the path can still be read.
+    """
+    path = new_shared_path(df.sparkSession, name)
+    table = f"quire_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).saveAsTable(table)
+    return table, path
+
+
+def forget(spark: SparkSession, tables: list[str]) -> None:
+    for table in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
     spark = df.sparkSession

@@ -1,5 +1,6 @@
 """Publications, versions and jobs on literal input, and invariants that must hold."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import ingest as I
@@ -75,14 +76,68 @@ def test_closure_of_long_chains_wide_stars_and_cycles(spark):
 
 
 def test_a_cycle_costs_no_more_rounds_than_the_longest_chain(spark, monkeypatch):
-    cuts = []
-    monkeypatch.setattr(L, "cut_lineage", lambda df: cuts.append(1) or df.cache())
+    cuts, cut = [], L.stored_by
+    monkeypatch.setattr(L, "stored_by", lambda *a: cuts.append(1) or cut(*a))
     edges = spark.createDataFrame([(1, 2), (2, 1), (3, None), (4, 3), (5, 9)], "id int, parent_publication_id int")
     got = {r.id: (r.root_id, r.depth) for r in L.lineage_closure(edges).collect()}
     assert got == {1: (None, None), 2: (None, None), 3: (3, 0), 4: (3, 1), 5: (9, 1)}
     assert len(cuts) <= 3
 
 
+def labels_of(df):
+    return {r.id: (r.root_id, r.depth) for r in df.collect()}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_found_rows_are_not_shuffled_again(spark, monkeypatch, no_broadcast):
+    plans, laid = [], L.stored_by
+    monkeypatch.setattr(L, "stored_by", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or laid(df, *a))
+    edges = spark.createDataFrame([(i, i - 1 if i else None) for i in range(40)], "id int, parent_publication_id int")
+    assert labels_of(L.lineage_closure(edges)) == {i: (0, i) for i in range(40)}
+    lines = plans[-1].splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    bucketed = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
+    assert len(bucketed) >= 5
+    for i in bucketed:  # from a scan up to the join there is no exchange
+        above, at = i, depth[i]
+        while "Join" not in lines[above]:
+            assert "Exchange" not in lines[above]
+            above = max(j for j in range(above) if depth[j] < at)
+            at = depth[above]
+
+
+def test_a_batch_of_edges_extends_a_closure(spark):
+    kind = "id int, parent_publication_id int"
+    old = [(1, None), (2, 1), (3, 2), (10, None), (11, 10), (12, 11), (20, 99), (30, 31), (31, 30), (32, 31), (40, None), (41, 40)]
+    # 13 follows 12; 10 turns out to follow 3, which joins two lineages; 99 arrives and follows 50, a new root;
+    # 33 hangs on a cycle; 40 turns out to follow its own successor; 60 follows a row that nobody knows.
+    batch = [(13, 12), (14, 13), (10, 3), (50, None), (99, 50), (33, 32), (40, 41), (42, 41), (60, 61)]
+    labels = L.lineage_closure(spark.createDataFrame(old, kind))
+    found, moved = L.extend_closure(labels, spark.createDataFrame(batch, kind))
+    known = {i for i, _ in old}
+    got = labels_of(L.moved_labels(labels, moved).unionByName(found.where(~F.col("id").isin(*known))))
+    everything = dict(old) | dict(batch)
+    assert got == labels_of(L.lineage_closure(spark.createDataFrame(list(everything.items()), kind)))
+    assert got[14] == (1, 7) and got[20] == (50, 2) and got[33] == got[42] == got[41] == (None, None) and got[60] == (61, 1)
+
+
+def test_extending_by_nothing_and_from_nothing(spark):
+    kind = "id int, parent_publication_id int"
+    labels = L.lineage_closure(spark.createDataFrame([(1, None), (2, 1)], kind))
+    found, moved = L.extend_closure(labels, spark.createDataFrame([], kind))
+    assert found.isEmpty() and labels_of(L.moved_labels(labels, moved)) == {1: (1, 0), 2: (1, 1)}
+    nothing = L.lineage_closure(spark.createDataFrame([], kind))
+    found, _ = L.extend_closure(nothing, spark.createDataFrame([(1, 2), (2, None)], kind))
+    assert labels_of(found) == {1: (2, 1), 2: (2, 0)}
+
+
 def test_orders_of_company_listings(spark):
     import datetime as dt
     t = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)]
@@ -125,6 +180,29 @@ def test_versions_as_of_a_table(spark):
     assert got == {(1, "2024-01-20", 1), (1, "2024-03-01", 2), (3, "2024-01-15", 3)}
 
 
+def test_as_of_requests_of_one_long_lineage_make_no_product(spark):
+    count = 100_000
+    hour = lambda n: F.timestamp_seconds(n * 3600).cast("timestamp_ntz")
+    versions = spark.range(count).select(
+        "id", F.lit(7).alias("root_id"), hour(F.col("id")).alias("published_at"), F.lit(None).cast("date").alias("source_updated_date"))
+    asked = spark.range(-5, count - 5).select(F.lit(7).alias("root_id"), (hour(F.col("id") + 3) - F.expr("INTERVAL 1 MINUTE")).alias("as_of"))
+    got = L.as_of_versions(versions.repartition(8), asked.repartition(8))
+    assert got.count() == count - 3 and got.where("timestampdiff(HOUR, timestamp_ntz'1970-01-01', as_of) <> id").isEmpty()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "as_of" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_as_of_ties_and_awkward_requests(spark):
+    import datetime as dt
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    pubs = spark.createDataFrame([(9, 1, t[0], None), (10, 1, t[0], None), (11, 1, t[2], None), (12, None, t[0], None), (13, 2, None, None)],
+                                 "id int, root_id int, published_at timestamp_ntz, source_updated_date date")
+    asked = spark.createDataFrame([(1, t[0]), (1, t[1]), (1, t[1]), (1, None), (None, t[2]), (2, t[2]), (3, t[2]), (1, t[2])],
+                                  "root_id int, as_of timestamp_ntz")
+    got = sorted((r.root_id, r.as_of, r.id) for r in L.as_of_versions(pubs, asked).collect())
+    assert got == [(1, t[0], 9), (1, t[1], 9), (1, t[2], 11)]
+
+
 def test_job_fold(spark):
     import datetime as dt
     t = [dt.datetime(2024, 1, 1, h) for h in range(6)]

@@ -9,6 +9,7 @@ from quire.operators import ingest as I
 from quire.operators import lineage as L
 from quire.operators import upserts as U
 from quire.plans import ingest_run
+from quire.session import stored
 from workload import views as v
 from workload.registry import query
 
@@ -378,6 +379,35 @@ def _(spark, d):
     return L.as_of_versions(rooted, DAYS)
 
 
+@query("extend_closure", "v_pub", CLOSURE + " SELECT * FROM closure")
+def _(spark, d):
+    # A third of the publications is labelled first; the others then come in one batch, with predecessors of labelled ones.
+    pubs = v.v_pub(spark, d)
+    before = L.link_predecessors(pubs.where("id % 3 = 0"))
+    labels = stored(L.lineage_closure(before), "labels")
+    after = linked(spark, d).select("id", "parent_publication_id")
+    late = before.where("parent_publication_id IS NULL").select("id")
+    batch = after.where("id % 3 <> 0").unionByName(
+        after.where("parent_publication_id IS NOT NULL").join(late, "id", "left_semi"))
+    found, moved = L.extend_closure(labels, batch)
+    return L.moved_labels(labels, moved).unionByName(found.where("id % 3 <> 0"))
+
+
+@query(
+    "as_of_requests",
+    "v_pub",
+    CLOSURE + """, k AS (SELECT c.root_id, p.id, coalesce(p.published_at, CAST(p.source_updated_date AS TIMESTAMP)) AS known_at FROM v_pub p JOIN closure c USING (id)),
+    t AS (SELECT root_id, known_at, arg_max(id, CAST(id AS VARCHAR)) AS id FROM k GROUP BY root_id, known_at),
+    q AS (SELECT DISTINCT c.root_id, l_shipdate AS as_of FROM lineitem JOIN closure c ON c.id = l_orderkey)
+    SELECT q.root_id, q.as_of, t.id FROM q ASOF JOIN t ON q.root_id = t.root_id AND CAST(q.as_of AS TIMESTAMP) >= t.known_at""",
+)
+def _(spark, d):
+    pubs = stored(linked(spark, d), "linked")
+    closure = stored(L.lineage_closure(pubs), "closure")
+    lines = v.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("as_of"))
+    return L.as_of_versions(pubs.join(closure, "id"), lines.join(closure, "id").select("root_id", "as_of"))
+
+
 @query(
     "prefer_source_tier",
     "v_pub",
