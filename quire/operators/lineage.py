@@ -178,13 +178,13 @@ def latest_leaf_flag(publications: DataFrame, closure: DataFrame) -> DataFrame:
     """``is_latest_version`` for every publication: the newest terminal row of each lineage.
 
     A lone publication that needs review is not latest. Within a longer lineage the status is not
-    looked at.
+    looked at. Rows without a root, on a cycle or hanging on one, are of no lineage and never latest.
     """
     parents = _parents(publications).withColumn("is_parent", F.lit(True))
     rooted = publications.join(closure.select("id", "root_id"), "id")
     # One pass per lineage with map-side combine, over the columns it needs only.
     newest = newest_first(F.col("published_at"), F.col("id"))
-    winners = rooted.select("root_id", "id", "published_at").join(parents, "id", "left").groupBy("root_id").agg(
+    winners = rooted.where("root_id IS NOT NULL").select("root_id", "id", "published_at").join(parents, "id", "left").groupBy("root_id").agg(
         F.max_by("id", F.when(F.col("is_parent").isNull(), newest)).alias("id"),
         F.count(F.lit(1)).alias("size"),
     ).where("id IS NOT NULL").select("id", "size")

@@ -5,33 +5,33 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from quire import values as V
 from quire.operators import upserts as U
-from quire.plans import ingest_run
-from quire.plans.snapshots import read_snapshot, write_snapshot
+from quire.plans.keyed_ingest import PublicationState
 
 
-def stream_publications(stream: DataFrame, state_root: str, checkpoint: str, now: Column, **trigger):
-    """Publications upserted and linked per micro-batch into versioned snapshots.
+def stream_publications(
+    stream: DataFrame, state_root: str, checkpoint: str, now: Column, compact_every: int = 16, **trigger
+):
+    """Publications upserted and linked per micro-batch into bucketed state (`PublicationState`).
 
-    The batch id names the snapshot and the state is always an earlier one, so a repeated batch
-    changes nothing. Predecessors may arrive after their successors.
+    A batch reads and writes the lineages it touches; the batch id is the version, so a repeated batch changes
+    nothing. Predecessors may arrive after their successors. Every ``compact_every`` batches, buckets with as many
+    deltas are folded into a base and older files go. Read with `read_publications`.
     """
     trigger = trigger or {"availableNow": True}
+    kinds = U.publication_flags(stream).schema
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        state = PublicationState(batch.sparkSession, state_root, kinds)
         fresh = U.publication_flags(batch).withColumn("seq", F.monotonically_increasing_id())
-        state = read_snapshot(spark, state_root, before=batch_id)
-        if state is None:
-            state = fresh.drop("seq").limit(0)
-        merged = ingest_run.publish(state, fresh, now)
-        columns = dict.fromkeys([*state.columns, "needs_review"])
-        write_snapshot(merged.select(*columns), state_root, batch_id)
+        if state.apply(fresh, now, batch_id) and batch_id % compact_every == compact_every - 1:
+            state.compact(least=compact_every)
 
     return (
         stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -39,6 +39,12 @@ def stream_publications(stream: DataFrame, state_root: str, checkpoint: str, now
     )
 
 
+def read_publications(spark: SparkSession, stream_schema: StructType, state_root: str) -> DataFrame:
+    """What `stream_publications` has stored; ``stream_schema`` is that of its input."""
+    kinds = U.publication_flags(spark.createDataFrame([], stream_schema)).schema
+    return PublicationState(spark, state_root, kinds).read()
+
+
 def stream_dedup(stream: DataFrame, event_time: str = "created_at", delay: str = "1 day") -> DataFrame:
     """Each (source, id, reference) once within the watermark; late repeats are dropped too."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(

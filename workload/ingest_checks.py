@@ -8,10 +8,11 @@ from quire.functions import text as X
 from quire.operators import ingest as I
 from quire.operators import lineage as L
 from quire.operators import upserts as U
-from quire.plans import ingest_run
-from quire.session import stored
+from quire.plans import ingest_run, keyed_ingest
+from quire.plans.keyed_state import KeyedState
+from quire.session import new_shared_path, stored
 from workload import views as v
-from workload.registry import query
+from workload.registry import ORACLES, query
 
 NOW = "TIMESTAMP '2030-01-01 00:00:00'"
 
@@ -123,6 +124,54 @@ def _(spark, d):
     return U.replace_document_output(pages, batch.withColumn("text", F.concat(F.lit("new "), "text")))
 
 
+def _kept_state(spark, name, rows, keys):
+    state = KeyedState(spark, new_shared_path(spark, name), rows.schema, keys)
+    state.write(rows, 0)
+    return state
+
+
+@query("upsert_publications_keyed", sql=ORACLES["upsert_publications"])
+def _(spark, d):
+    stored_rows, batch = _upsert_input(spark, d)
+    state = _kept_state(spark, "keyed-publications", stored_rows.withColumn("created", F.lit(False)), U.PUBLICATION_KEY)
+    keyed_ingest.upsert_publications_into(state, batch, now(), 1)
+    return state.read().select(
+        "id", "source", "source_document_id", "company_id", "title", "updated_at", "is_correction",
+        "is_latest_version", "processing_status", "created",
+    )
+
+
+@query("ensure_raw_objects_keyed", sql=ORACLES["ensure_raw_objects"])
+def _(spark, d):
+    rows = v.v_art(spark, d).select("sha256", "id", "created_at", "file_size")
+    known = U.first_per_key(rows.where("file_size % 300 = 0"), ["sha256"], ["created_at", "id"])
+    state = _kept_state(spark, "keyed-objects", known, ["sha256"])
+    keyed_ingest.insert_into(state, rows, ["created_at", "id"], 1)
+    return state.read().drop("file_size")
+
+
+@query("ensure_artifacts_keyed", sql=ORACLES["ensure_artifacts"])
+def _(spark, d):
+    rows, keys = v.v_art(spark, d), ["publication_id", "attachment_reference"]
+    known = U.first_per_key(rows.where("publication_id % 2 = 0 AND file_size % 300 = 0"), keys, ["created_at", "id"])
+    state = _kept_state(spark, "keyed-artifacts", known, keys)
+    # In two batches, the second of which repeats half of the first.
+    for version, part in enumerate(("publication_id % 3 < 2", "publication_id % 3 > 0"), 1):
+        keyed_ingest.insert_into(state, rows.where(part), ["created_at", "id"], version)
+    state.compact(least=2)
+    return state.read().select("publication_id", "attachment_reference", "id")
+
+
+@query("replace_document_output_keyed", sql=ORACLES["replace_document_output"])
+def _(spark, d):
+    pages = v.v_page(spark, d).select("document_id", "page_number", "text")
+    state = _kept_state(spark, "keyed-pages", pages, ["document_id"])
+    batch = pages.where("document_id % 3 = 0 AND page_number <= 2").withColumn("text", F.concat(F.lit("new "), "text"))
+    for _ in range(2):  # a rerun changes nothing
+        keyed_ingest.replace_in(state, batch, 1, processed=batch)
+    return state.read()
+
+
 @query("purge_by_document", "v_page", "SELECT document_id, page_number FROM v_page WHERE document_id % 4 <> 1")
 def _(spark, d):
     pages = v.v_page(spark, d).select("document_id", "page_number")

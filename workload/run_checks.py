@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quire.operators import cells as C
 from quire.operators import ingest as I
 from quire.operators import reconstruct as R
-from quire.plans import ingest_run, process_run, snapshots
+from quire.plans import ingest_run, process_run
 from quire.session import new_shared_path
 from quire.sources.sidecars import parse_grid_sidecars
 from quire.streaming import streams
@@ -217,7 +217,7 @@ def _(spark, d):
     pubs.repartitionByRange(2, F.desc("id")).write.parquet(feed)
     stream = spark.readStream.schema(pubs.schema).option("maxFilesPerTrigger", 1).parquet(feed)
     streams.stream_publications(stream, state, new_shared_path(spark, "progress"), now()).awaitTermination()
-    return snapshots.read_snapshot(spark, state).select(
+    return streams.read_publications(spark, pubs.schema, state).select(
         "id", "parent_publication_id", "is_latest_version",
         ingest_run.shown_status().alias("processing_status"),
     )
