@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import io
-import re
 import zipfile
-from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quire import values as V
+from quire.sources.files import list_files
 
 _HEAD_BYTES = 256
 
@@ -27,18 +26,14 @@ def binary_facts(files: DataFrame, content: str = "content") -> DataFrame:
 def read_binary_corpus(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Files under a path with bytes, size and digest. Files without content have empty bytes.
 
-    The reader passes over files of zero bytes, though it lists them; names it lists and does not read are
-    added. The list is the one that the driver holds to plan the scan.
+    Spark's reader passes over files of zero bytes; a listing by tasks adds them (`list_files`).
     """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True).load(path)
     ).select("path", "modificationTime", "content")
-    names = [(re.sub("^file:/+", "file:/", unquote(name)),) for name in files.inputFiles()]
-    listed = spark.createDataFrame(names, "path string")
-    seen = files.select("path").distinct()
-    empty = listed.join(seen, "path", "left_anti").select(
-        "path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(b"").alias("content"))
+    empty = list_files(spark, path, glob).where("size_bytes = 0").select(
+        "path", F.col("modified").alias("modificationTime"), F.lit(b"").alias("content"))
     return binary_facts(files.unionByName(empty))
 
 

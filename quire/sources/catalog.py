@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sources.files import RANGE_BYTES, json_elements, list_files
+
 ATTACHMENT = "struct<filename:string,download_reference:string,reported_mime_type:string>"
 CATALOG_SCHEMA = (
     "ticker string, source_document_id string, title string, published_at string, "
@@ -28,10 +30,15 @@ def with_defaults(raw: DataFrame, source: str = "FIXTURE") -> DataFrame:
     )
 
 
-def read_disclosure_catalog(spark: SparkSession, path: str, source: str = "FIXTURE") -> DataFrame:
-    """Catalog files under a path; one JSON array per file, or one object per line."""
-    raw = spark.read.schema(CATALOG_SCHEMA).option("multiLine", True).json(path)
-    return with_defaults(raw, source)
+def read_disclosure_catalog(
+    spark: SparkSession, path: str, source: str = "FIXTURE", range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """Catalog files under a path; one JSON array per file, or objects one after the other.
+
+    Files are listed and cut into ranges by tasks, so one large file is read by many (`json_elements`).
+    """
+    elements = json_elements(list_files(spark, path), range_bytes)
+    return with_defaults(elements.select(F.from_json("element", CATALOG_SCHEMA).alias("p")).select("p.*"), source)
 
 
 def parse_disclosure_catalog(texts: DataFrame, source: str = "FIXTURE") -> DataFrame:

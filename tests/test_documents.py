@@ -4,8 +4,11 @@ import datetime as dt
 import hashlib
 import html
 import io
+import json
+import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire import values as V
@@ -13,7 +16,8 @@ from quire.functions import text as X
 from quire.operators import cells as C
 from quire.operators import pages as P
 from quire.operators import sections as S
-from quire.sources import binary, catalog, listing
+from quire.sources import binary, catalog, connectors, files, listing
+from quire.streaming import streams
 
 
 def test_folding_matches_the_exact_form(spark):
@@ -93,8 +97,8 @@ def test_file_types_and_files(spark, tmp_path):
     }
     for name, (data, _) in samples.items():
         (tmp_path / name).write_bytes(data)
-    files = binary.detect_file_type(binary.read_binary_corpus(spark, str(tmp_path)))
-    got = {r.path.rsplit("/", 1)[1]: (r.file_type, r.size_bytes, r.sha256) for r in files.collect()}
+    found = binary.detect_file_type(binary.read_binary_corpus(spark, str(tmp_path)))
+    got = {r.path.rsplit("/", 1)[1]: (r.file_type, r.size_bytes, r.sha256) for r in found.collect()}
     assert got == {name: (kind, len(data), hashlib.sha256(data).hexdigest()) for name, (data, kind) in samples.items()}
 
 
@@ -129,6 +133,72 @@ def test_catalog_file(spark, tmp_path):
     assert row.published_at.startswith("2024-04-20T23:30") and row.attachments[0].filename == "a.pdf"
 
 
+@pytest.mark.parametrize("size", [7, 64, 1 << 20])
+def test_json_files_in_ranges(spark, tmp_path, size):
+    awkward = [{"a": '}{][\\" , \\\\'}, {"b": {"c": [1, {"d": '\\\\"'}]}}, {"e": "é ü 漢" * 9}, {}, {"f": ["[", "{", '"']}, {"g": "\\" * 7}]
+    texts = {
+        "array.json": json.dumps(awkward, ensure_ascii=False, indent=1), "escaped.json": json.dumps(awkward),
+        "lines.json": "\n".join(json.dumps(x) for x in awkward), "deep/er/one.json": json.dumps(awkward[1]),
+        "none.json": "[]", "empty.json": "", "odd.json": '[1, "x{", {"y": 2}, [{"z": 3}], null]', "_hidden.json": "{",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    listed = files.list_files(spark, str(tmp_path))
+    assert {r.path.removeprefix(f"file:{tmp_path}/"): r.size_bytes for r in listed.collect()} == {
+        n: len(t.encode()) for n, t in texts.items() if not n.startswith("_")}
+    found = {}
+    for r in files.json_elements(listed, size).orderBy("path", "start").collect():
+        found.setdefault(r.path.removeprefix(f"file:{tmp_path}/"), []).append(json.loads(r.element))
+    assert found == {"array.json": awkward, "escaped.json": awkward, "lines.json": awkward, "deep/er/one.json": [awkward[1]],
+                     "odd.json": [{"y": 2}]}
+    assert files.list_files(spark, str(tmp_path), "o*.json").count() == 2
+    if size > 7:
+        (tmp_path / "cut.json").write_text('[{"a": "')
+        with pytest.raises(Exception, match="ends inside a value"):
+            files.json_elements(files.list_files(spark, str(tmp_path)), size).collect()
+
+
+def test_one_catalog_file_is_many_tasks(spark, tmp_path):
+    rows = [{"ticker": "a", "source_document_id": f"d{i}", "title": "t" * 50} for i in range(400)]
+    (tmp_path / "c.json").write_text(json.dumps(rows))
+    cut = files.file_ranges(files.list_files(spark, str(tmp_path)), 4096)
+    assert cut.count() > 5
+    read = catalog.read_disclosure_catalog(spark, str(tmp_path), range_bytes=4096)
+    assert sorted(r.source_document_id for r in read.collect()) == sorted(r["source_document_id"] for r in rows)
+
+
+class Numbers:
+    """A connector of its own: days of January, one publication each."""
+
+    source = "OWN"
+
+    def __init__(self, options):
+        self.days = int(options["days"])
+
+    def units(self):
+        return [(f"{day:03d}", str(day)) for day in range(1, self.days + 1)]
+
+    def read(self, unit):
+        yield {"ticker": "xy"[int(unit) % 2], "source_document_id": f"n{unit}", "published_at": f"2031-01-{int(unit):02d}T00:00:00Z"}
+
+
+def test_feeds_of_registered_connectors(spark, tmp_path):
+    ids = lambda df: sorted(r.source_document_id for r in df.collect())
+    own = {"connector": "tests.test_documents:Numbers", "days": "9"}
+    feed = connectors.read_feed(spark, **own)
+    assert len(ids(feed)) == 9 and {r.source for r in feed.collect()} == {"OWN"}
+    assert ids(connectors.read_feed(spark, ticker="X", **own, **{"from": "2031-01-03", "to": "2031-01-06"})) == ["n4", "n6"]
+    assert ids(connectors.read_feed(spark, document="n5", **own)) == ["n5"]
+    # A stream reads what has been added since its checkpoint.
+    folder, out, progress = (str(tmp_path / n) for n in ("feed", "out", "progress"))
+    os.mkdir(folder)
+    for step, expected in ((1, ["d1"]), (2, ["d1", "d2"])):
+        with open(f"{folder}/f{step}.json", "w") as f:
+            json.dump([{"ticker": "t", "source_document_id": f"d{step}"}], f)
+        assert ids(streams.run_to_files(connectors.stream_feed(spark, path=folder).select("source_document_id"), out, progress)) == expected
+
+
 def test_cards(spark):
     def card(title, date, *names):
         links = "".join(f'<a href="/api/download?url=https%3A%2F%2Fhost.test%2Fd%2F{n}.pdf">x</a>' for n in names)

@@ -8,7 +8,8 @@ import zipfile
 from pyspark.sql import functions as F
 
 from quire.operators import cells as C
-from quire.sources import binary, catalog, listing, sidecars
+from quire.sources import binary, catalog, connectors, listing, sidecars
+from quire.streaming import streams
 from workload import views as v
 from quire.session import new_shared_path
 from workload.registry import query
@@ -37,8 +38,12 @@ def _(spark, d):
             for n in ("a", "b")
         ])).alias("attachments"),
     )
-    texts = v.v_pub(spark, d).groupBy((key % 20).alias("part")).agg(F.to_json(F.collect_list(item)).alias("json"))
-    pubs = catalog.read_disclosure_catalog(spark, one_file_each(texts, "part", "json"))
+    # Files of so many keys each: their number grows with the table, not their size.
+    texts = v.v_pub(spark, d).groupBy(F.floor(key / 2000).alias("part")).agg(F.to_json(F.collect_list(item)).alias("json"))
+    return catalog_rows(catalog.read_disclosure_catalog(spark, one_file_each(texts, "part", "json"), range_bytes=1 << 16))
+
+
+def catalog_rows(pubs):
     return pubs.select(
         "source", "ticker", "source_document_id", "title", "published_at",
         F.col("published_instant").cast("timestamp_ntz").alias("published_instant"), "document_type",
@@ -47,6 +52,29 @@ def _(spark, d):
     )
 
 
+def catalog_folder(spark, d):
+    """The catalog of `read_disclosure_catalog` as a folder of files."""
+    pubs = v.v_pub(spark, d)
+    key = F.col("id")
+    item = F.struct(
+        F.lower("source").alias("ticker"), "source_document_id", "title",
+        F.concat(F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+07:00")).alias("published_at"), "document_type")
+    texts = pubs.groupBy(F.floor(key / 2000).alias("part")).agg(F.to_json(F.collect_list(item)).alias("json"))
+    return one_file_each(texts, "part", "json")
+
+
+@query("read_feed", "v_pub", "SELECT upper(source) AS ticker, source_document_id, title FROM v_pub WHERE source = 'SRC1' AND strftime(updated_at, '%Y-%m-%d') BETWEEN '1996-01-01' AND '1998-06-30'")
+def _(spark, d):
+    feed = connectors.read_feed(spark, path=catalog_folder(spark, d), ticker="src1", **{"from": "1996-01-01", "to": "1998-06-30"})
+    return feed.select("ticker", "source_document_id", "title")
+
+
+@query("stream_feed", "v_pub", "SELECT upper(source) AS ticker, source_document_id, title, document_type FROM v_pub")
+def _(spark, d):
+    feed = connectors.stream_feed(spark, path=catalog_folder(spark, d)).select("ticker", "source_document_id", "title", "document_type")
+    return streams.run_to_files(feed, new_shared_path(spark, "feed"), new_shared_path(spark, "progress"))
+
+
 @query(
     "catalog_attachments",
     "v_pub",
@@ -66,13 +94,13 @@ def _(spark, d):
 @query(
     "read_binary_corpus",
     "v_page",
-    """, f AS (SELECT document_id % 64 AS file, string_agg(text, chr(10) ORDER BY document_id, page_number) || chr(10) AS text FROM v_page GROUP BY 1)
+    """, f AS (SELECT document_id // 16 AS file, string_agg(text, chr(10) ORDER BY document_id, page_number) || chr(10) AS text FROM v_page GROUP BY 1)
     SELECT file, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes, sha256(text) AS sha256 FROM f""",
 )
 def _(spark, d):
     # The pages are written as files of some documents each, and read back with their names.
     page = F.struct("document_id", "page_number", F.coalesce("text", F.lit("")).alias("text"))
-    texts = v.v_page(spark, d).groupBy((F.col("document_id") % 64).alias("file")).agg(F.array_join(
+    texts = v.v_page(spark, d).groupBy(F.floor(F.col("document_id") / 16).alias("file")).agg(F.array_join(
         F.transform(F.array_sort(F.collect_list(page)), lambda p: p["text"]), "\n").alias("text"))
     files = binary.read_binary_corpus(spark, one_file_each(texts, "file", "text"))
     return files.select(F.regexp_extract("path", "file=([0-9]+)/", 1).cast("bigint").alias("file"), "size_bytes", "sha256")
