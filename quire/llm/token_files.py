@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+import string
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -26,52 +28,107 @@ BLOCK_IDS = 65_536
 LEVEL = 3
 
 
+#: What the chunks below rely on: the steps of the file's normaliser and pre-tokenizer, as fixed values.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class ChunkEncoder:
     """Encodes texts with the tokenizers library, white-space-free chunks one by one.
 
     The normaliser (composition, white space, lower case) and the pattern of this kind of file never join
-    what white space parts, nor letters and a comma or full stop, so a text's ids are those of its chunks in
-    a row. Chunks met before are kept. New ones go to the library in one text, parted by a number sign that
-    is a token of its own and is in none of them.
+    what white space parts, so a text's ids are those of its chunks in a row; nor do they join letters and signs
+    after them, so these are parts of their own. The letters must be letters after normalisation: some
+    decompose into a letter and a mark, and a mark joins the signs. Chunks met before are kept. The new ones of
+    many texts go to the library in one text, a word each, and their ids are told apart by the suffix of a
+    word's last token. A file with another normaliser or pattern is an error.
     """
 
     odd = re.compile("[\x1c-\x1f]")  # what str.split() takes for white space, though the pattern does not
     blank = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-    mark = "0"
 
     def __init__(self, path: str, limit: int = 800_000):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        shapes = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        rest = [(s.get("type"), s.get("add_prefix_space"), s.get("use_regex")) for s in shapes[1:]]
+        first = {k: shapes[0].get(k) for k in ("type", "pattern", "behavior", "invert")}
+        if spec["normalizer"] != _NORMALIZER or rest != [("ByteLevel", False, False)] or first != {
+                "type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}:
+            raise ValueError(f"not a file of this normaliser and pattern: {path}")
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
-        (self.mark_id,) = self._ids(self.mark)
-        self.tails = {tail: np.array(self._ids(tail), "<u4").tobytes() for tail in ",."}
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.normal = self.tokenizer.normalizer.normalize_str
+        suffix = spec["model"].get("end_of_word_suffix")
+        if not suffix:
+            raise ValueError(f"not a file that marks the ends of words: {path}")
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, chunks: Iterable[str]) -> None:
         known, plain = self.known, []
         for chunk in chunks:
-            if chunk.isalpha() and self.mark not in chunk:
+            if chunk.isascii() and chunk.isalpha() or chunk.isalpha() and self.normal(chunk).isalpha():
                 plain.append(chunk)
             else:
                 known[chunk] = np.array(self._ids(chunk), "<u4").tobytes()
-        if plain:
-            ids = np.array(self._ids(f" {self.mark} ".join(plain)), "<u4")
-            ends = np.flatnonzero(ids == self.mark_id)
-            for chunk, start, end in zip(plain, [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)]):
-                known[chunk] = ids[start:end].tobytes()
+        if not plain:
+            return
+        ids = np.array(self._ids(" ".join(plain)), "<u4")
+        data, ends = ids.tobytes(), (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+        if len(ends) != len(plain) or ends[-1] != len(data):
+            raise ValueError("the file has letters without an end")
+        for chunk, start, end in zip(plain, [0, *ends], ends):
+            known[chunk] = data[start:end]
+
+    def _parts(self, chunk: str) -> tuple[str, str]:
+        """Letters and the signs that follow them, or the whole chunk; plain letters without their case."""
+        core = chunk.rstrip(string.punctuation)
+        if core.isascii():
+            return (core.lower(), chunk[len(core):]) if core.isalpha() else (chunk, "")
+        return (core, chunk[len(core):]) if core.isalpha() and self.normal(core).isalpha() else (chunk, "")
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        split = [[c for c in self.blank.split(t) if c] if self.odd.search(t) else t.split() for t in texts]
+        known, found, pending = self.known, [b""] * len(split), []
+        if len(known) > self.limit:
+            known.clear()
+        for i, chunks in enumerate(split):
+            try:
+                found[i] = b"".join(map(known.__getitem__, chunks))
+            except KeyError:
+                pending.append(i)
+        if pending:
+            new = set().union(*(split[i] for i in pending)).difference(known)
+            parts = {c: self._parts(c) for c in new}
+            self._learn({part for pair in parts.values() for part in pair if part}.difference(known))
+            for chunk, (core, tail) in parts.items():
+                known[chunk] = known[core] + known[tail] if tail else known[core]
+            for i in pending:
+                found[i] = b"".join(map(known.__getitem__, split[i]))
+        return found
 
     def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids."""
-        chunks = [c for c in self.blank.split(text) if c] if self.odd.search(text) else text.split()
-        if new := set(chunks).difference(self.known):
-            if len(self.known) > self.limit:
-                self.known = {}
-                new = set(chunks)
-            ended = {c: c[:-1] for c in new if c[-1] in self.tails and c[:-1].lower().isalpha()}
-            self._learn({*new.difference(ended), *ended.values()}.difference(self.known))
-            for chunk, core in ended.items():
-                self.known[chunk] = self.known[core] + self.tails[chunk[-1]]
-        return b"".join(map(self.known.__getitem__, chunks))
+        return self.encode_all([text])[0]
+
+
+def _portions(texts: Iterable, size: int = 4 << 20) -> Iterator[list]:
+    """Rows (doc_id, text) in lists of about ``size`` characters."""
+    held, total = [], 0
+    for row in texts:
+        held.append(row)
+        total += len(row[1])
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
 
 
 @lru_cache(maxsize=2)
@@ -128,7 +185,7 @@ def write_token_files(
                         F.rand(17).alias("tie")).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress, encode = zstandard.ZstdCompressor(level=LEVEL).compress, encoder(tokenizer).encode
+        compress, encode_all = zstandard.ZstdCompressor(level=LEVEL).compress, encoder(tokenizer).encode_all
         part, block, end, size = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes(), 4 * block_ids
         pending, doc_ids, lengths, lead, lead_block = bytearray(), [], [], 0, -1
 
@@ -137,10 +194,12 @@ def write_token_files(
             values = part, block, len(data) // 4, lead, lead_block, doc_ids, lengths, planes
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, FILE)], schema=FILE)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                data = encode(text.as_py()) + end
-                doc_ids.append(doc_id.as_py())
+        rows = ((doc_id.as_py(), text.as_py()) for batch in batches for doc_id, text in zip(*batch.columns))
+        for portion in _portions(rows):
+            encoded = encode_all([text for _, text in portion])
+            for (doc_id, _), data in zip(portion, encoded):
+                data += end
+                doc_ids.append(doc_id)
                 lengths.append(len(data) // 4)
                 left, started = len(data), block
                 for at in range(0, len(data), size):

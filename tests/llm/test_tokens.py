@@ -107,6 +107,22 @@ def test_chunks_equal_the_library():
         assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_letters_before_a_comma_or_full_stop():
+    """Among them those that composition takes apart into a letter and a mark, which joins what follows."""
+    own, library = files.ChunkEncoder(WORDS), Tokenizer.from_file(WORDS)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha() and not any(a < ord(c) < b for a, b in ((0x3400, 0xA000), (0xAC00, 0xD7A0), (0x17000, 0x19000), (0x20000, 0x323B0)))]
+    texts = [f"a{c}{tail} x" for c in letters for tail in ",."] + [
+        "হয়, ক়. ড়,", "שּׁ, a", "İ, i.", "a's, b'S. it's' we've?!", "x<|endoftext|>, y.<|", "C++... d'", "'s 's. ''s", "é.* ½, a½."]
+    assert len(letters) > 10_000
+    for text, found in zip(texts, own.encode_all(texts)):
+        assert np.frombuffer(found, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_another_normaliser_is_refused():
+    with pytest.raises(ValueError, match="normaliser"):
+        files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 @pytest.mark.parametrize("n", [1, 7, 8, 1000])
 def test_planes_round_trip(kind, n):
