@@ -97,8 +97,10 @@ class ChunkEncoder:
         """Little-endian 32-bit ids of each text."""
         split = [[c for c in self.blank.split(t) if c] if self.odd.search(t) else t.split() for t in texts]
         known, found, pending = self.known, [b""] * len(split), []
-        if len(known) > self.limit:
+        if len(known) > self.limit:  # what these texts use stays, and so does all that is frequent
+            kept = {c: known[c] for c in set().union(*split).intersection(known)}
             known.clear()
+            known.update(kept)
         for i, chunks in enumerate(split):
             try:
                 found[i] = b"".join(map(known.__getitem__, chunks))
