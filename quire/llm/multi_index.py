@@ -134,22 +134,25 @@ def nearest_neighbours(
     double precision, ties to the smaller id. There are about 4 * n^(1/4) centres a half, ``MOST_CENTRES`` at
     most, so what is broadcast is bounded: centres, and one number per cell.
 
-    Rows whose vector is null, zero, of another length than the first sampled one, or holds null or non-finite
-    components, and rows without id, take no part. A query isn't given its own id. Large cells are spread over
-    blocks of entries, and blocks that many queries visit are copied for parts of the queries.
+    Rows whose vector is null, zero, or holds null or non-finite components, and rows without id, take no part. Vectors
+    of each length have an index of their own, as there is no distance between lengths. A query isn't given its
+    own id; a walk goes on until it has seen more vectors than are asked for. Large cells are spread over blocks
+    of entries, and blocks that many queries visit are copied for parts of the queries.
     """
-    spark = vectors.sparkSession
     usual = lambda df: df.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     distinct = written(distinct_vectors(usual(vectors), nearest), "index-vectors")
+    found = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    sizes = {r["width"]: r["count"] for r in distinct.groupBy(F.size("embedding").alias("width")).count().collect()}
+    for width in sorted(sizes):
+        fits = F.size("embedding") == width
+        found = found.unionByName(_search(distinct.where(fits), sizes[width], usual(queries).where(fits), width, nearest, centres))
+    return found
+
+
+def _search(distinct: DataFrame, n: int, queries: DataFrame, width: int, nearest: int, centres: int | None) -> DataFrame:
+    """`nearest_neighbours` among ``n`` distinct vectors of one length."""
     sample = distinct.orderBy(F.xxhash64("embedding")).limit(TRAINING_SAMPLE).select("embedding").toArrow()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not sample.num_rows:
-        return empty
-    width = len(sample.column(0)[0])
-    fits = F.size("embedding") == width
-    distinct, queries = distinct.where(fits), usual(queries).where(fits)
-    points = _matrix(pa.array([v for v in sample.column(0).to_pylist() if len(v) == width]))
-    n = distinct.count()
+    points = _matrix(sample.column(0).combine_chunks())
     k = centres or min(MOST_CENTRES, max(2, round(4 * n ** 0.25)))
     cut = max(1, width // 2)
     books = Books(kmeans(points[:, :cut], k), kmeans(points[:, cut:], k) if width > 1 else np.zeros((1, 0)))
@@ -160,7 +163,7 @@ def nearest_neighbours(
         counts[row["cell"]] = row["count"]
     audited = [(r["vec_id"], np.array(r["embedding"], float)) for r in
                queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(AUDITED).collect()]
-    visit = _audit(entries, audited, nearest, books, counts)
+    visit = max(_audit(entries, audited, nearest, books, counts), nearest + 1)
     before = np.concatenate([[0], np.cumsum(counts)])
     first_block = before[:-1] // ENTRIES_PER_BLOCK  # cells in order fill blocks; a large cell goes over several
     blocks_of = np.maximum((before[1:] - 1) // ENTRIES_PER_BLOCK, first_block) - first_block + 1

@@ -149,6 +149,8 @@ def test_nearest_neighbours_reach_brute_force(spark, monkeypatch, small):
     usual = [(i, np.array(v, float)) for i, v, _ in rows if i is not None and usable(v) and len(v) == 16]
     hits = total = 0
     asked = {i: v for i, v in usual if i % 10 == 0}
+    other = {i: got.pop(i) for i, v, _ in rows if usable(v) and len(v) == 2 and i in got}
+    assert set(other) == {i for i, v, _ in rows if usable(v) and len(v) == 2 and i % 10 == 0}
     assert set(got) == set(asked)
     for i, query in asked.items():
         want = sorted((float(np.sqrt(((v - query) ** 2).sum())), j) for j, v in usual if j != i)[:10]
@@ -161,6 +163,30 @@ def test_nearest_neighbours_reach_brute_force(spark, monkeypatch, small):
     assert hits / total >= 0.9
 
 
+def test_each_width_has_its_own_index(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(4 if i % 2 else 6).tolist(), 1) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {}
+    for row in multi_index.nearest_neighbours(vectors, vectors.where("vec_id < 9")).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    hits = 0
+    for i in range(9):
+        near = sorted((float(np.linalg.norm(np.array(rows[i][1]) - np.array(v))), j) for j, v, _ in rows
+                      if j != i and len(v) == len(rows[i][1]))[:10]
+        assert len(got[i]) == 10 and all(j % 2 == i % 2 for j in got[i])
+        hits += sum(j in got[i] for _, j in near)
+    assert hits >= 81
+
+
+def test_a_walk_sees_more_than_it_is_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "_audit", lambda *a: 1)
+    rows = [(i, [float(i), 1.0 + i % 7], 1) for i in range(200)] + [(1000 + i, [5000.0, 1.0], 1) for i in range(50)]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    found = multi_index.nearest_neighbours(vectors, vectors.where("vec_id % 10 = 0"))
+    assert found.groupBy("query_id").count().where("count <> 10").isEmpty()
+
+
 def test_fewer_candidates_than_asked_for(spark):
     rows = [(0, [1.0, 0.0], 1), (100, [1.0, 0.0], 1), (3, [0.0, 1.0], 1), (2, [0.0, 1.0], 1)]
     vectors = spark.createDataFrame(rows, SCHEMA)
