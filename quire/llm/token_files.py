@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import string
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -34,6 +35,13 @@ _NORMALIZER = {"type": "Sequence", "normalizers": [
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+@lru_cache(maxsize=1)
+def _apart() -> frozenset[str]:
+    """Letters that composition or lower case turns into something with a mark."""
+    letters = (c for c in map(chr, range(0x80, 0x110000)) if c.isalpha())
+    return frozenset(c for c in letters if not unicodedata.normalize("NFC", c).lower().isalpha())
+
+
 class ChunkEncoder:
     """Encodes texts with the tokenizers library, white-space-free chunks one by one.
 
@@ -45,7 +53,7 @@ class ChunkEncoder:
     word's last token. A file with another normaliser or pattern is an error.
     """
 
-    odd = re.compile("[\x1c-\x1f]")  # what str.split() takes for white space, though the pattern does not
+    odd = "\x1c\x1d\x1e\x1f"  # what str.split() takes for white space, though the pattern does not
     blank = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
     def __init__(self, path: str, limit: int = 800_000):
@@ -60,7 +68,6 @@ class ChunkEncoder:
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.normal = self.tokenizer.normalizer.normalize_str
         suffix = spec["model"].get("end_of_word_suffix")
         if not suffix:
             raise ValueError(f"not a file that marks the ends of words: {path}")
@@ -73,7 +80,7 @@ class ChunkEncoder:
     def _learn(self, chunks: Iterable[str]) -> None:
         known, plain = self.known, []
         for chunk in chunks:
-            if chunk.isascii() and chunk.isalpha() or chunk.isalpha() and self.normal(chunk).isalpha():
+            if chunk.isalpha() and (chunk.isascii() or _apart().isdisjoint(chunk)):
                 plain.append(chunk)
             else:
                 known[chunk] = np.array(self._ids(chunk), "<u4").tobytes()
@@ -91,11 +98,11 @@ class ChunkEncoder:
         core = chunk.rstrip(string.punctuation)
         if core.isascii():
             return (core.lower(), chunk[len(core):]) if core.isalpha() else (chunk, "")
-        return (core, chunk[len(core):]) if core.isalpha() and self.normal(core).isalpha() else (chunk, "")
+        return (core, chunk[len(core):]) if core.isalpha() and _apart().isdisjoint(core) else (chunk, "")
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [[c for c in self.blank.split(t) if c] if self.odd.search(t) else t.split() for t in texts]
+        split = [[c for c in self.blank.split(t) if c] if any(c in t for c in self.odd) else t.split() for t in texts]
         known, found, pending = self.known, [b""] * len(split), []
         if len(known) > self.limit:  # what these texts use stays, and so does all that is frequent
             kept = {c: known[c] for c in set().union(*split).intersection(known)}
