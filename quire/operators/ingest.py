@@ -179,7 +179,8 @@ def corpus_coverage(items: DataFrame, targets: dict[tuple[str, str], int]) -> Da
     )
     counts = items.groupBy("kind", "storage").agg(F.count(F.lit(1)).alias("items"))
     found = F.coalesce("items", F.lit(0))
-    return F.broadcast(wanted).join(counts, ["kind", "storage"], "left").select(
+    # The counts are one row per kind and storage that there is; the targets keep their rows.
+    return wanted.join(counts, ["kind", "storage"], "left").select(
         "kind", "storage", "target", found.alias("items"), (found >= F.col("target")).alias("met")
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quire.operators import ingest as I
 from quire.operators import jobs as J
 from quire.operators import lineage as L
+from quire.operators import pages as P
 from quire.operators import upserts as U
 from quire.plans import ingest_run, snapshots
 
@@ -150,6 +151,14 @@ def test_orders_of_company_listings(spark):
     assert [r.id for r in I.company_artifacts(artifacts, pubs, 7).collect()] == [12, 11, 10]
 
 
+def test_orders_of_pages_and_blocks(spark):
+    rows = [(2, 1, 0), (1, 10, 1), (1, 2, 5), (1, 10, 0), (1, 2, 4), (2, 1, 3)]
+    blocks = spark.createDataFrame(rows, "document_id int, page_number int, block_index int").repartition(5)
+    assert [tuple(r) for r in P.blocks_in_order(blocks).collect()] == sorted(rows)
+    pages = blocks.select("document_id", "page_number").distinct().repartition(5)
+    assert [tuple(r) for r in P.pages_in_order(pages).collect()] == [(1, 2), (1, 10), (2, 1)]
+
+
 def test_discover_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "pubs")
     spark.sql("SELECT 'FPT' AS ticker, timestamp_ntz'2024-04-20 23:30:00' AS published_at UNION ALL "
