@@ -19,8 +19,9 @@ THRESHOLD = 0.98
 NEIGHBOURS, MOST_NEIGHBOURS = 12, 48
 PROPOSED = 4  # neighbours that a local join proposes to a member whose list isn't saturated
 TABLES, BUCKET = 6, 64
-AUDITED, TARGET_RECALL, MOST_ROUNDS = 512, 0.99, 8
-JUDGED, MOST_AUDITED = 100, 1 << 15  # linked nodes an audit needs, and nodes it takes at most to find them
+AUDITED, TARGET_RECALL, MOST_ROUNDS, MOST_SEARCHES = 512, 0.99, 12, 4
+PLANTED, NEAREST_PLANT = 512, 0.999  # perturbed copies added for the search to find, and their largest cosine
+CENTRED = 64  # vectors of a label whose mean its hyperplanes go through
 FEW_EDGES = 0.02
 BLOCK = 512
 HALF_ERROR = 0.003  # half precision moves a cosine by less
@@ -64,29 +65,49 @@ def _half(units: Column) -> Column:
     return shorten(units)
 
 
-def _codes(units: Column, bits: int) -> Column:
-    """The side of random hyperplanes that each vector lies on, ``bits`` of them for each of ``TABLES``."""
+def _codes(units: Column, centres: Column, bits: int, turn: int) -> Column:
+    """The side of random hyperplanes through the centre that each vector lies on, ``bits`` of them for each of ``TABLES``."""
 
     @F.arrow_udf("array<long>")
-    def sides(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+    def sides(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for units, centres in batches:
             codes: list = []
-            for u in batch:
-                row = np.frombuffer(u.as_buffer(), "<f2").astype("f4")
-                planes = _planes(len(row), bits)
+            for u, c in zip(units, centres):
+                row = np.frombuffer(u.as_buffer(), "<f2").astype("f4") - np.frombuffer(c.as_buffer(), "<f4")
+                planes = _planes(len(row), bits, turn)
                 codes.append((((planes @ row) > 0).reshape(TABLES, bits) @ (1 << np.arange(bits))).tolist())
             yield pa.array(codes, pa.list_(pa.int64()))
 
-    return sides(units)
+    return sides(units, centres)
 
 
-_plane_cache: dict[tuple[int, int], np.ndarray] = {}
+_plane_cache: dict[tuple[int, int, int], np.ndarray] = {}
 
 
-def _planes(width: int, bits: int) -> np.ndarray:
-    if (width, bits) not in _plane_cache:
-        _plane_cache[width, bits] = np.random.default_rng(7).standard_normal((TABLES * bits, width)).astype("f4")
-    return _plane_cache[width, bits]
+def _planes(width: int, bits: int, turn: int) -> np.ndarray:
+    if (width, bits, turn) not in _plane_cache:
+        if len(_plane_cache) >= 8:
+            _plane_cache.clear()
+        _plane_cache[width, bits, turn] = np.random.default_rng((7, turn)).standard_normal((TABLES * bits, width)).astype("f4")
+    return _plane_cache[width, bits, turn]
+
+
+def _centres(vertices: DataFrame) -> DataFrame:
+    """(label, centre): the mean of ``CENTRED`` vectors of each label, so that planes part directions that crowd.
+
+    Planes through the origin leave the vectors of a narrow cone on one side. The sample only places the planes.
+    """
+
+    @F.arrow_udf("binary")
+    def mean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([np.mean([np.frombuffer(h, "<f2").astype("f4") for h in row.as_py()], axis=0).astype("<f4").tobytes()
+                            for row in batch], pa.binary())
+
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("node"), "node"))
+    few = vertices.select("label", "node", "half").withColumn("rank", rank).where(F.col("rank") <= CENTRED)
+    return few.groupBy("label").agg(F.sort_array(F.collect_list("half")).alias("halves")).select(
+        "label", mean(F.col("halves")).alias("centre"))
 
 
 def _join_members(rows: list[tuple], _: list[tuple]) -> Iterator[tuple]:
@@ -124,20 +145,26 @@ def _best(proposed: DataFrame, wanted: DataFrame | None) -> DataFrame:
     return ranked.groupBy("node", "near").agg(F.max("score").alias("score"), F.min("fresh").alias("fresh"))
 
 
-def _first_graph(vertices: DataFrame, n: int) -> DataFrame:
-    """A first graph: vectors of one label on the same side of random hyperplanes, in groups of bounded size."""
+def _bucketed(vertices: DataFrame, centres: DataFrame, n: int, turn: int) -> DataFrame:
+    """(node, near, score, fresh) proposed among vectors of one label on the same side of random hyperplanes, in
+    groups of bounded size. Each ``turn`` draws other planes."""
     bits = max(1, round(np.log2(max(2, n / BUCKET))) - 2)
-    coded = vertices.select("node", "half", "label", F.posexplode(_codes(F.col("half"), bits)).alias("table", "code"))
+    coded = vertices.join(centres, "label").select("node", "half", "label", F.posexplode(
+        _codes(F.col("half"), F.col("centre"), bits, turn)).alias("table", "code"))
     bucket = ["label", "table", "code"]
     parts = coded.groupBy(*bucket).agg(F.ceil(F.count("*") / (4 * BUCKET)).alias("parts"))
-    name = F.concat_ws(":", "label", "table", "code", F.pmod(F.xxhash64("node", "table"), F.col("parts")))
+    part = F.pmod(F.xxhash64("node", "table", F.lit(turn)), F.col("parts"))
+    name = F.concat_ws(":", "label", "table", "code", part)
     groups = coded.join(parts, bucket).select(name.cast("string").alias("pair"), "node", "half",
                                               F.lit(NEIGHBOURS).alias("wanted"), F.lit(True).alias("fresh"))
-    return _best(_local_joins(groups).withColumn("fresh", F.lit(True)), None)
+    return _local_joins(groups).withColumn("fresh", F.lit(True))
 
 
 def _descend(graph: DataFrame, vertices: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One round: the neighbours of each node, and the nodes it is a neighbour of, are compared with each other."""
+    """One round: the neighbours of each node, and the nodes it is a neighbour of, are compared with each other.
+
+    Returns the graph and what the comparisons propose.
+    """
     out = graph.select(F.col("node").alias("centre"), F.col("near").alias("node"), "score", "fresh")
     back = graph.select(F.col("near").alias("centre"), "node", "score", "fresh")
     rank = F.row_number().over(Window.partitionBy("centre").orderBy(F.desc("score"), "node"))
@@ -148,60 +175,84 @@ def _descend(graph: DataFrame, vertices: DataFrame, wanted: DataFrame) -> DataFr
         wanted.select("node", F.col("list").alias("wanted")), "node", "left").select(
         F.col("centre").cast("string").alias("pair"), "node", "half",
         F.coalesce("wanted", F.lit(PROPOSED)).alias("wanted"), "fresh")
-    proposed = _local_joins(groups).withColumn("fresh", F.lit(True))
-    return _best(proposed.unionByName(graph.withColumn("fresh", F.lit(False))), wanted)
+    return _local_joins(groups).withColumn("fresh", F.lit(True)).unionByName(graph.withColumn("fresh", F.lit(False)))
+
 
+def _perturbed(units: Column) -> Column:
+    """Each unit vector turned in a random direction, to a cosine between the threshold and ``NEAREST_PLANT``."""
 
-def true_links(vertices: DataFrame, n: int) -> tuple[DataFrame, bool]:
-    """(node, near, few) links of sampled nodes by brute force, and whether they are enough to judge by.
+    @F.arrow_udf("binary")
+    def turn(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            turned = []
+            for u in batch:
+                row = np.frombuffer(u.as_buffer(), "<f8")
+                rng = np.random.default_rng(int.from_bytes(hashlib.blake2b(row.tobytes(), digest_size=8).digest(), "little"))
+                noise = rng.standard_normal(len(row))
+                noise -= (noise @ row) * row
+                length = np.sqrt(noise @ noise)
+                cosine = rng.uniform(THRESHOLD + 5e-4, NEAREST_PLANT)
+                if length > 1e-9:  # at width 1 there is no other direction
+                    row = cosine * row + np.sqrt(1 - cosine * cosine) * noise / length
+                turned.append((row / np.sqrt(row @ row)).tobytes())
+            yield pa.array(turned, pa.binary())
+
+    return turn(units)
 
-    The sample starts with ``AUDITED`` nodes and grows until ``JUDGED`` of them have ``few`` links, less than
-    ``NEIGHBOURS``, it holds all nodes, or it has ``MOST_AUDITED``. Each task tells at most ``NEIGHBOURS`` links
-    of a node: this is enough for the audit, and large groups don't outweigh the others.
+
+def planted(vertices: DataFrame) -> DataFrame:
+    """Vertices (node, label, unit, half) that are perturbed copies of ``PLANTED`` sampled ones.
+
+    The copy of node n is node -1 - n, so the link that a search should find is known, however rare links are.
     """
-    size = AUDITED
-    while True:
-        sample = vertices.orderBy(F.xxhash64("unit")).limit(size).select("node", "label", "unit").toArrow()
-        by_label: dict[str, list] = {}
-        for node, label, data in zip(*(c.to_pylist() for c in sample.columns)):
-            by_label.setdefault(label, []).append((node, data))
-        asked = {k: (np.array([i for i, _ in v]), b"".join(u for _, u in v)) for k, v in by_label.items()}
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            told = {label: np.zeros(len(names), int) for label, (names, _) in asked.items()}  # noqa: B023
-            for batch in batches:
-                rows: dict[str, list] = {}
-                for node, label, data in zip(*(c.to_pylist() for c in batch.columns)):
-                    if label in asked:  # noqa: B023
-                        rows.setdefault(label, []).append((node, data))
-                for label, here in rows.items():
-                    names, data = asked[label]  # noqa: B023
-                    others = np.frombuffer(data, "<f8").reshape(len(names), -1)
-                    for at in range(0, len(here), BLOCK):
-                        nodes = np.array([r[0] for r in here[at:at + BLOCK]])
-                        own = _matrix([r[1] for r in here[at:at + BLOCK]])
-                        for first in range(0, len(names), 8 * BLOCK):
-                            linked = own @ others[first:first + 8 * BLOCK].T >= THRESHOLD
-                            linked &= nodes[:, None] != names[first:first + 8 * BLOCK]
-                            so_far = told[label][first:first + 8 * BLOCK]
-                            linked &= linked.cumsum(axis=0) + so_far <= NEIGHBOURS
-                            so_far += linked.sum(axis=0)
-                            i, j = np.nonzero(linked)
-                            if len(i):
-                                yield pa.RecordBatch.from_arrays([pa.array(names[first + j]), pa.array(nodes[i])], ["node", "near"])
-
-        links = vertices.select("node", "label", "unit").mapInArrow(scan, "node long, near long")
-        counts = links.groupBy("node").agg(F.collect_list("near").alias("near"))
-        links = written(counts.select("node", F.explode("near").alias("near"), (F.size("near") < NEIGHBOURS).alias("few")), "audit-links")
-        known = size >= n or links.where("few").select("node").distinct().count() >= JUDGED
-        if known or size >= MOST_AUDITED:
-            return links, known
-        size = min(8 * size, MOST_AUDITED)
+    sample = vertices.orderBy(F.xxhash64("unit", "node")).limit(PLANTED)
+    copies = sample.select((-1 - F.col("node")).alias("node"), "label", _perturbed(F.col("unit")).alias("unit"))
+    return copies.withColumn("half", _half(F.col("unit")))
+
+
+def true_links(vertices: DataFrame, plants: DataFrame) -> DataFrame:
+    """(node, near, kind): the links to audit a search by.
+
+    ``planted`` ones lead from a plant to the vertex it copies. ``few`` and ``many`` are links of ``AUDITED`` sampled
+    vertices, by brute force: of vertices with less than ``NEIGHBOURS`` links, and of the others. Each task tells at
+    most ``NEIGHBOURS`` links of a vertex: this is enough for the audit, and large groups don't outweigh the others.
+    """
+    sample = vertices.orderBy(F.xxhash64("unit")).limit(AUDITED).select("node", "label", "unit").toArrow()
+    by_label: dict[str, list] = {}
+    for node, label, data in zip(*(c.to_pylist() for c in sample.columns)):
+        by_label.setdefault(label, []).append((node, data))
+    asked = {k: (np.array([i for i, _ in v]), b"".join(u for _, u in v)) for k, v in by_label.items()}
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = {label: np.zeros(len(names), int) for label, (names, _) in asked.items()}
+        for batch in batches:
+            rows: dict[str, list] = {}
+            for node, label, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if label in asked:
+                    rows.setdefault(label, []).append((node, data))
+            for label, here in rows.items():
+                names, data = asked[label]
+                others = np.frombuffer(data, "<f8").reshape(len(names), -1)
+                for at in range(0, len(here), BLOCK):
+                    nodes = np.array([r[0] for r in here[at:at + BLOCK]])
+                    linked = _matrix([r[1] for r in here[at:at + BLOCK]]) @ others.T >= THRESHOLD
+                    linked &= nodes[:, None] != names
+                    linked &= linked.cumsum(axis=0) + told[label] <= NEIGHBOURS
+                    told[label] += linked.sum(axis=0)
+                    i, j = np.nonzero(linked)
+                    if len(i):
+                        yield pa.RecordBatch.from_arrays([pa.array(names[j]), pa.array(nodes[i])], ["node", "near"])
+
+    links = vertices.select("node", "label", "unit").mapInArrow(scan, "node long, near long")
+    counts = links.groupBy("node").agg(F.collect_list("near").alias("near"))
+    kind = F.when(F.size("near") < NEIGHBOURS, "few").otherwise("many")
+    sampled = counts.select("node", F.explode("near").alias("near"), kind.alias("kind"))
+    return written(sampled.union(plants.select("node", -1 - F.col("node"), F.lit("planted"))), "audit-links")
 
 
 def _least_share(links: DataFrame) -> float:
-    """The share of ``held`` ones of the audited links: of nodes with few or with many, whichever is less."""
-    shares = links.groupBy("few").agg(F.avg(F.coalesce("held", F.lit(False)).cast("double")).alias("share")).collect()
+    """The share of ``held`` ones of the audited links, of the kind with the least."""
+    shares = links.groupBy("kind").agg(F.avg(F.coalesce("held", F.lit(False)).cast("double")).alias("share")).collect()
     return min((r["share"] for r in shares), default=1.0)
 
 
@@ -222,26 +273,40 @@ def _grouped(links: DataFrame, groups: DataFrame) -> float:
         "held", F.col("node_group") == F.col("near_group")))
 
 
-def neighbour_graph(vertices: DataFrame, links: DataFrame | None = None) -> DataFrame:
+def neighbour_graph(
+    vertices: DataFrame, links: DataFrame | None = None, graph: DataFrame | None = None, turn: int = 0,
+) -> DataFrame:
     """(node, near, score, fresh) for ``vertices`` (node, label, unit, half): neighbours of the same label only.
 
-    Starts from hyperplane buckets and descends until the graph holds ``TARGET_RECALL`` of the audited ``links``
-    and a round brings less than ``FEW_EDGES`` new edges, or for ``MOST_ROUNDS``. A list with nothing but links
-    is saturated: it may hide more of them, so it is enlarged twofold each round, up to ``MOST_NEIGHBOURS``.
+    Starts from hyperplane buckets, and from ``graph`` if one is given, and descends until a round brings less than
+    ``FEW_EDGES`` new edges and the graph holds ``TARGET_RECALL`` of the audited ``links``, or for ``MOST_ROUNDS``.
+    A descent that has settled below the target gets the buckets of other hyperplanes: what one draw of planes parts,
+    another one brings together. A list with nothing but links is saturated: it may hide more of them, so it is
+    enlarged twofold each round, up to ``MOST_NEIGHBOURS``.
     """
     n = vertices.count()
     if links is None:
-        links = true_links(vertices, n)[0]
-    graph = written(_first_graph(vertices, n), "descent-graph")
+        links = true_links(vertices, vertices.limit(0))
+    centres = written(_centres(vertices), "descent-centres")
+    proposed = _bucketed(vertices, centres, n, turn)
+    if graph is not None:
+        proposed = proposed.unionByName(graph.withColumn("fresh", F.lit(False)))
+    graph = written(_best(proposed, None), "descent-graph")
     wanted = graph.select("node", F.lit(NEIGHBOURS).alias("list")).limit(0)
-    for turn in range(MOST_ROUNDS):
+    settled = False
+    for _ in range(MOST_ROUNDS):
         full = graph.where(F.col("score") >= THRESHOLD).groupBy("node").agg(F.count("*").alias("links"))
         wanted = written(full.join(wanted, "node", "left").select(
             "node", "links", F.coalesce("list", F.lit(NEIGHBOURS)).alias("list")).where("links >= list").select(
             "node", F.least(F.col("list") * 2, F.lit(MOST_NEIGHBOURS)).alias("list")), "descent-lists")
-        graph = written(_descend(graph, vertices, wanted), "descent-graph")
+        proposed = _descend(graph, vertices, wanted)
+        if settled:
+            turn += 1
+            proposed = proposed.unionByName(_bucketed(vertices, centres, n, turn))
+        graph = written(_best(proposed, wanted), "descent-graph")
         edges = graph.agg(F.count("*").alias("all"), F.count_if("fresh").alias("fresh")).first()
-        if edges["fresh"] <= FEW_EDGES * edges["all"] and _audit(links, graph) >= TARGET_RECALL:
+        settled = edges["fresh"] <= FEW_EDGES * edges["all"]
+        if settled and _audit(links, graph) >= TARGET_RECALL:
             break
     return graph
 
@@ -303,14 +368,23 @@ def _verify(left: list[tuple], right: list[tuple]) -> Iterator[tuple]:
 
 
 def link_groups(vertices: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, component): nodes that edges of the neighbour graph near the threshold, or full lists, bring together."""
-    graph = neighbour_graph(vertices, links)
-    near = graph.where(F.col("score") >= THRESHOLD - HALF_ERROR).select(F.col("node").alias("a"), F.col("near").alias("b"))
-    groups = components(near, "vector-groups")
-    meetings = written(full_meetings(graph, groups, vertices), "vector-meetings")
-    if meetings.limit(1).count():
-        groups = components(near.union(meetings), "vector-groups")
-    return groups
+    """(node, component): nodes that edges of the neighbour graph near the threshold, or full lists, bring together.
+
+    The search goes on with other hyperplanes until the groups hold ``TARGET_RECALL`` of the audited ``links``. After
+    ``MOST_SEARCHES`` searches below that it is an error: links are not dropped unseen, and no label is compared in full.
+    """
+    graph = None
+    for search in range(MOST_SEARCHES):
+        graph = neighbour_graph(vertices, links, graph, search * (MOST_ROUNDS + 1))
+        near = graph.where(F.col("score") >= THRESHOLD - HALF_ERROR).select(F.col("node").alias("a"), F.col("near").alias("b"))
+        groups = components(near, "vector-groups")
+        meetings = written(full_meetings(graph, groups, vertices), "vector-meetings")
+        if meetings.limit(1).count():
+            groups = components(near.union(meetings), "vector-groups")
+        recall = _grouped(links, groups)
+        if recall >= TARGET_RECALL:
+            return groups
+    raise RuntimeError(f"the neighbour search holds {recall:.4f} of the audited links, less than {TARGET_RECALL}")
 
 
 def vector_links(vectors: DataFrame) -> DataFrame:
@@ -320,8 +394,8 @@ def vector_links(vectors: DataFrame) -> DataFrame:
     ``THRESHOLD``. Equal vectors of a label are one node with as many rows. Edges of the neighbour graph near
     the threshold group the nodes, and groups with full lists are joined where their radii allow a link between
     them; in each group all nodes are compared in blocks, so a full list costs no link, and no pair of rows is
-    made for each pair of a group. Where the audit finds too few links to judge the search, or too many of them in
-    no group, all nodes of a label are compared in blocks instead. ``component_id`` is the smallest vec_id reachable.
+    made for each pair of a group. The search is judged by links of sampled nodes and by planted copies, which take
+    part in it alone, and goes on until it finds them. ``component_id`` is the smallest vec_id reachable.
     Rows whose label is null or whose vector is null, zero or holds null or non-finite components are alone.
     """
     rows = written(vectors.select("vec_id", F.col("label").cast("string").alias("label"), F.size("embedding").alias("width"),
@@ -332,13 +406,9 @@ def vector_links(vectors: DataFrame) -> DataFrame:
     vertices = written(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn(
         "half", _half(F.col("unit"))), "vector-nodes")
     searched = vertices.select("node", "label", "unit", "half")
-    audited, known = true_links(searched, vertices.count())
-    if known:
-        groups = link_groups(searched, audited)
-        known = _grouped(audited, groups) >= TARGET_RECALL
-    if not known:  # links too rare to judge the search, or too many missed
-        groups = vertices.select("node", F.col("label").alias("component"))
-    members = groups.join(vertices.select("node", "rows", "unit"), "node")
+    plants = written(planted(searched), "vector-plants")
+    groups = link_groups(searched.unionByName(plants), true_links(searched, plants))
+    members = groups.join(vertices.select("node", "rows", "unit"), "node")  # plants are no vertices
     verified = written(by_pair(
         in_blocks(members, "component", "node", BLOCK).select("pair", "side", "node", "rows", "unit"), _verify,
         "node long, root long, links long", ["node", "root", "links"], [pa.int64()] * 3), "vector-links")

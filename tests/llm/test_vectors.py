@@ -103,15 +103,45 @@ def test_rare_links_are_found(spark, monkeypatch):
     assert sorted(map(tuple, descent.vector_links(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr) == brute_links(rows)
 
 
-def test_an_empty_audit_is_not_known(spark, monkeypatch):
-    monkeypatch.setattr(descent, "AUDITED", 2)
-    monkeypatch.setattr(descent, "MOST_AUDITED", 4)
+def test_one_link_among_many_rows(spark):
+    """A cone of crowded directions with three pairs; each label is searched, none is compared in full."""
+    rng = np.random.default_rng(12)
+    vectors = (8 * np.eye(32)[0] + 2 * rng.standard_normal((12_000, 32))).astype("f4")
+    for i in range(3):
+        vectors[100 + i] = vectors[i] + 0.2 * rng.standard_normal(32)
+    units = vectors.astype("f8") / np.linalg.norm(vectors.astype("f8"), axis=1)[:, None]
+    want = {}
+    for at in range(0, len(units), 1000):
+        for i, j in zip(*np.nonzero(units[at:at + 1000] @ units.T >= 0.98)):
+            if at + i != j:
+                want.setdefault(int(at + i), []).append(int(j))
+    assert 6 <= len(want) < 60
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    got = descent.vector_links(spark.createDataFrame(rows, SCHEMA))
+    assert {r["vec_id"]: r["n_links"] for r in got.where("n_links > 0").collect()} == {i: len(j) for i, j in want.items()}
+    assert got.count() == len(rows)
+
+
+def test_plants_are_copies_within_the_threshold(spark):
     units = np.eye(40)
     vertices = spark.createDataFrame([(i, "1", u.tobytes()) for i, u in enumerate(units)], "node long, label string, unit binary")
-    links, known = descent.true_links(vertices, 40)
-    assert links.count() == 0 and not known
-    monkeypatch.setattr(descent, "MOST_AUDITED", 64)
-    assert descent.true_links(vertices, 40)[1]
+    vertices = vertices.withColumn("half", descent._half(F.col("unit")))
+    plants = descent.planted(vertices)
+    found = {r["node"]: np.frombuffer(r["unit"], "<f8") for r in plants.collect()}
+    assert sorted(found) == list(range(-40, 0))
+    assert all(0.98 < units[-1 - node] @ unit < 0.9991 for node, unit in found.items())
+    links = descent.true_links(vertices, plants).collect()
+    assert sorted(map(tuple, links)) == [(-1 - i, i, "planted") for i in range(39, -1, -1)]
+    alone = spark.createDataFrame([(0, "1", np.ones(1).tobytes())], "node long, label string, unit binary")
+    assert descent.planted(alone).first()["unit"] == np.ones(1).tobytes()
+
+
+def test_a_search_below_its_target_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(descent, "_grouped", lambda links, groups: 0.5)
+    monkeypatch.setattr(descent, "MOST_SEARCHES", 1)
+    rows = [(i, np.eye(8)[i].tolist(), 1) for i in range(8)]
+    with pytest.raises(RuntimeError, match="0.5000"):
+        descent.vector_links(spark.createDataFrame(rows, SCHEMA))
 
 
 def test_no_vectors(spark):
