@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from quire.llm.common import WORD, components, row_key, table, written
 from quire.llm.registry import query
 
 WORDS, THRESHOLD = 5, 0.8
-TREES, DEPTH, SHORTEST = 16, 6, 2
+TREES, DEPTH, SHORTEST = 16, 7, 2
 TARGET_RECALL = 0.995
 #: Pairs whose signatures agree less are no candidates: 4.5 standard errors below the threshold.
 ESTIMATE_FLOOR = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / (TREES * DEPTH)) ** 0.5
@@ -75,11 +76,6 @@ def found_at(similarity: np.ndarray, depth: int) -> np.ndarray:
     return 1 - (1 - similarity ** depth) ** TREES
 
 
-def first_depth() -> int:
-    """The longest prefix by which a pair at the threshold is found with ``TARGET_RECALL``."""
-    return max(d for d in range(SHORTEST, DEPTH + 1) if found_at(THRESHOLD, d) >= TARGET_RECALL)
-
-
 def _agreement(own: np.ndarray, others: np.ndarray) -> np.ndarray:
     """The share of equal MinHash values of each signature with each other one."""
     return np.stack([(others == row).mean(axis=1) for row in own])
@@ -96,21 +92,31 @@ def _cross_edges(linked: np.ndarray, own: np.ndarray, others: np.ndarray) -> lis
     return [(int(rows[k]), int(columns[k])) for k in pairs]
 
 
+def _links_seen(signatures: np.ndarray, estimates: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each set of a block the links seen with the others of it, and how many are to be expected by that.
+
+    A link is seen in every tree where both share the prefix, and counts its part each time; of links of its
+    similarity only a share is seen at this depth, which tells how many there are.
+    """
+    found, expected = np.zeros(len(signatures)), np.zeros(len(signatures))
+    for i, row in enumerate(signatures):
+        near = np.flatnonzero(estimates[i] >= THRESHOLD)
+        near = near[near != i]
+        if len(near):
+            equal = (signatures[near] == row).reshape(-1, TREES, DEPTH)
+            parts = 1 / np.maximum(equal[:, :, :depth].all(axis=2).sum(axis=1), 1)
+            found[i], expected[i] = parts.sum(), (parts / found_at(estimates[i][near], depth)).sum()
+    return found, expected
+
+
 def _compare_signatures(depth: int):
+    """Rows (a, b) of candidates, and (a, null, found, expected) of the links of sets that share a block."""
+
     def compare(left: list[tuple], right: list[tuple]) -> Iterator[tuple]:
         left, right = sorted(left), sorted(right)  # so that the same members make the same edges in every tree
         own = np.frombuffer(b"".join(r[1] for r in left), "<u4").reshape(-1, TREES * DEPTH)
         others = np.frombuffer(b"".join(r[1] for r in right), "<u4").reshape(-1, TREES * DEPTH) if right else own
-        estimates, found, expected = _agreement(own, others), 0.0, 0.0
-        for i, row in enumerate(own):
-            near = np.flatnonzero(estimates[i] >= THRESHOLD)
-            near = near if right else near[near > i]
-            if len(near):
-                # A pair is seen in every tree where it shares the prefix; each time it counts its part.
-                equal = (others[near] == row).reshape(-1, TREES, DEPTH)
-                seen = np.maximum(equal[:, :, :depth].all(axis=2).sum(axis=1), 1)
-                found += float((1 / seen).sum())
-                expected += float((1 / seen / found_at(estimates[i][near], depth)).sum())
+        estimates = _agreement(own, others)
         linked = estimates >= ESTIMATE_FLOOR
         if right:
             # Each block also meets itself elsewhere, so here only what connects the two is told.
@@ -118,34 +124,52 @@ def _compare_signatures(depth: int):
             edges = [(left[i][0], right[j][0]) for i, j in _cross_edges(linked, *within)] if within else []
         else:
             edges = [(left[i][0], left[j][0]) for i, j in spanning(linked)]
+            found, expected = _links_seen(own, estimates, depth)
+            for i in np.flatnonzero(found):
+                yield left[i][0], None, float(found[i]), float(expected[i])
         yield from ((a, b, 0.0, 0.0) for a, b in edges)
-        if found:
-            yield None, None, found, expected
 
     return compare
 
 
+def _satisfied(rows: DataFrame, depth: int) -> DataFrame:
+    """(set): sets whose expected recall at this depth reaches ``TARGET_RECALL``.
+
+    Besides the links seen each set is taken to have one more at the threshold, which the prefix may have missed:
+    a set without links, or with a few, is looked up again by a shorter prefix.
+    """
+    missed = float(found_at(THRESHOLD, depth))
+    recall = (F.sum("found") + missed) / (F.sum("expected") + 1)
+    return rows.where("b is null").groupBy(F.col("a").alias("set")).agg(recall.alias("recall")).where(
+        F.col("recall") >= TARGET_RECALL).select("set")
+
+
 def candidate_groups(sets: DataFrame) -> DataFrame:
     """(node, component): sets (set, signature) that a chain of candidate pairs connects.
 
     Each tree of the forest sorts the sets by its own MinHash values; sets that share a prefix are candidates
-    and are compared by signature. Prefixes start at the depth where a pair at the threshold is found with
-    ``TARGET_RECALL``, whatever other pairs there are, and are shortened until the links seen, each weighed by its
-    chance to be seen at this depth, are ``TARGET_RECALL`` of those to be expected.
+    and are compared by signature. All sets are looked up by the longest prefixes first. Prefixes are shortened for
+    the sets that are not ``_satisfied``, until all are; the others can still be found by them. Buckets without a
+    set that is looked up are left out, so a group of many near copies is met once, at the longest prefix.
     """
-    for depth in range(first_depth(), SHORTEST - 1, -1):
+    edges, satisfied = [], sets.select("set").limit(0)
+    for depth in range(DEPTH, SHORTEST - 1, -1):
         prefix = lambda t: F.xxhash64(F.lit(t), F.substring("signature", 4 * DEPTH * t + 1, 4 * depth))  # noqa: B023, E731
-        codes = sets.select("set", F.explode(F.array(*(prefix(t) for t in range(TREES)))).alias("code"))
-        shared = codes.join(codes.groupBy("code").agg(F.count("*").alias("n")).where("n > 1"), "code").select("code", "set")
+        asked = sets.join(satisfied.withColumn("done", F.lit(True)), "set", "left").select(
+            "set", "signature", F.col("done").isNull().alias("asked"))
+        codes = asked.select("set", "asked", F.explode(F.array(*(prefix(t) for t in range(TREES)))).alias("code"))
+        buckets = codes.groupBy("code").agg(F.count("*").alias("n"), F.max("asked").alias("any")).where("n > 1 and any")
+        shared = codes.join(buckets, "code").select("code", "set")
         dealt = in_blocks(shared, "code", "set", SIGNATURE_BLOCK).join(sets.select("set", "signature"), "set")
         rows = written(by_pair(
             dealt.select("pair", "side", "set", "signature"), _compare_signatures(depth),
             "a binary, b binary, found double, expected double", ["a", "b", "found", "expected"],
             [pa.binary(), pa.binary(), pa.float64(), pa.float64()]), "forest-edges")
-        seen = rows.agg(F.coalesce(F.sum("found"), F.lit(0.0)), F.coalesce(F.sum("expected"), F.lit(0.0))).first()
-        if seen[0] >= TARGET_RECALL * seen[1]:
-            break
-    return components(rows.where("a is not null").select("a", "b"), "forest")
+        edges.append(rows.where("b is not null").select("a", "b"))
+        if found_at(THRESHOLD, depth) >= TARGET_RECALL:
+            break  # here the missed link is found often enough too, so every set is satisfied
+        satisfied = written(satisfied.union(_satisfied(rows, depth)).distinct(), "forest-satisfied")
+    return components(reduce(DataFrame.union, edges), "forest")
 
 
 def shared_counts(own: list[np.ndarray], others: list[np.ndarray] | None) -> np.ndarray:
