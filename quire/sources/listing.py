@@ -20,15 +20,15 @@ def read_listing_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def extract_disclosure_cards(
     pages: DataFrame, ticker: str, id_prefix: str, host: str, title_pattern: str = V.TITLE_SPAN,
-    link_pattern: str = V.DOWNLOAD_LINK,
+    link_pattern: str = V.DOWNLOAD_LINK, bare_names: bool = True,
 ) -> DataFrame:
     """One row per card: a title, the update date and the download links up to the next title.
 
     Cards without a date or a link are no publications. The page is cut at its titles inside its
-    row, so nothing is shuffled.
+    row, so nothing is shuffled. ``bare_names`` is that of `html_clean`.
     """
     marked = F.regexp_replace(
-        X.html_clean(F.col("html")), f"(?i)({title_pattern})", f"{_MARK}$1"
+        X.html_clean(F.col("html"), bare_names), f"(?i)({title_pattern})", f"{_MARK}$1"
     )
     cards = pages.select(
         "page_id", F.posexplode(F.slice(F.split(marked, _MARK), 2, 1 << 30)).alias("card_no", "card")
