@@ -117,3 +117,17 @@ def test_rows(rebuilt):
     kinds = rows["kinds"]
     assert [r.kind for r in kinds] == ["section_header", "data", "separator", "continuation", "empty", "data"]
     assert (kinds[1].label, kinds[1].indent_spaces) == ("    Grain", 4) and kinds[5].label == "Timber\nand\nplanks"
+
+
+def test_band_whose_first_row_is_data_and_starts_in_a_later_chunk(spark):
+    """The band comes from the digests of the chunks, in one pass, also with cells that no header row has."""
+    n = R.CHUNK_ROWS
+    rows = [["", ""]] * (n - 1) + [["Lamp", "70,011"], ["Items", "2029"], ["Buoys", "1,204"]]
+    cells = spark.createDataFrame(
+        [("t", r, c, text, False) for r, row in enumerate(rows) for c, text in enumerate(row)],
+        "table_id string, row int, column int, raw_text string, is_merged boolean")
+    digest = R.table_digests(R.row_flags(R.table_rows(cells))).first()
+    assert (digest.first_row, digest.band_size, digest.band_warnings) == (n - 1, 2, [])
+    assert [(b.row, [c.raw_text for c in b.cells]) for b in digest.band_rows] == [
+        (n - 1, ["Lamp", "70,011"]), (n, ["Items", "2029"])]
+    assert digest.cell_unit is None and digest.internal is None
