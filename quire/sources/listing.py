@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 
 from quire import values as V
 from quire.functions import text as X
+from quire.sources.files import list_files, whole_texts
 
 _MARK = "\x01"
 
 
 def read_listing_pages(spark: SparkSession, path: str) -> DataFrame:
     """HTML files under a path, one row per page."""
-    return spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("page_id"), F.col("value").alias("html")
-    )
+    return whole_texts(list_files(spark, path)).withColumnsRenamed({"path": "page_id", "text": "html"})
 
 
 def extract_disclosure_cards(

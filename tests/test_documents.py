@@ -247,3 +247,48 @@ def test_numbering_across_stretches(spark):
     df = spark.range(n).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("rank"), (F.col("id") * 5).alias("seq"))
     got = C.number_within(df, ["k"], "rank", "seq", "at").orderBy("rank", "seq").collect()
     assert [r["at"] for r in got] == list(range(n))
+
+
+def test_small_files_are_dealt_by_number_and_size(spark, tmp_path):
+    rows = [(f"{tmp_path}/n={i % 3}/{i}.html", f"trang {i}\n".encode()) for i in range(300)]
+    files.write_files(spark.createDataFrame(rows, "path string, content binary"))
+    listed = files.list_files(spark, str(tmp_path), "*.html")
+    read = files.whole_texts(listed)
+    # Spark's reader takes 32 files a task at most.
+    assert read.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted(r.text for r in read.collect()) == sorted(f"trang {i}\n" for i in range(300))
+    assert listing.read_listing_pages(spark, str(tmp_path)).count() == 300
+
+
+def test_file_ranges_are_not_left_to_one_task(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps([{"ticker": "a", "title": "t" * 50} for _ in range(400)]))
+    found = files.json_elements(files.list_files(spark, str(tmp_path)), 1024)
+    assert found.rdd.getNumPartitions() >= min(2, spark.sparkContext.defaultParallelism)
+
+
+def exchanges(df):
+    df.count()
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+            if "Exchange hashpartitioning" in line]
+
+
+def test_matrices_are_built_where_the_cells_lie(spark):
+    from workload.table_checks import matrices
+
+    assert len(exchanges(matrices(spark, "/root/testdata/sf0.001"))) == 2
+
+
+def test_sheet_slots_are_not_shuffled(spark):
+    rows = [(1, 0, "S", 2, 2, "a", None, False, "B2"), (1, 0, "S", 2, 2, "b", None, False, "B2"), (1, 0, "S", 4, 4, None, "=x", True, "D4"),
+            (1, 0, "S", 3, 3, None, None, True, "C3"), (1, 0, "S", 9, 9, None, None, False, "I9"), (1, 0, "S", 2, 9, None, None, False, "I2"),
+            (1, 1, "T", 1, 1, None, None, False, "A1")]
+    cells = spark.createDataFrame(rows, "document_id long, sheet_index int, sheet_name string, row int, column int, value_text string, "
+                                        "formula_text string, is_merged boolean, address string")
+    grid = C.sheet_to_grid(cells)
+    assert not [line for line in exchanges(grid) if "column" in line]
+    found = sorted((r.row, r.column, r.raw_text, r.is_merged, r.warning) for r in grid.collect())
+    shown = {(0, 0): ["a", "b"], (2, 2): ["=x"]}
+    wanted = [(r, c, t, (r, c) == (1, 1), "merged_continuation:C3" if (r, c) == (1, 1) else None)
+              for r in range(3) for c in range(3) for t in shown.get((r, c), [""])]
+    assert found == sorted(wanted, key=lambda x: x[:3])
+    assert C.sheet_to_grid(cells, texts=False).count() == len(wanted)
