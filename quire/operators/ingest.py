@@ -66,9 +66,15 @@ def lookup_one(df: DataFrame, **key: object) -> DataFrame:
     return df.where(condition)
 
 
-def pdf_candidates(df: DataFrame, min_bytes: int = 1000) -> DataFrame:
-    named = F.col("mime_type").ilike("%pdf%") | F.col("filename").ilike("%.pdf")
-    return df.where(named & (F.col("size_bytes") > min_bytes))
+MIN_PDF_BYTES = 1000
+
+
+def named_as_pdf() -> Column:
+    return F.col("mime_type").ilike("%pdf%") | F.col("filename").ilike("%.pdf")
+
+
+def pdf_candidates(df: DataFrame, min_bytes: int = MIN_PDF_BYTES) -> DataFrame:
+    return df.where(named_as_pdf() & (F.col("size_bytes") > min_bytes))
 
 
 def pending_attachments(attachments: DataFrame, artifacts: DataFrame) -> DataFrame:
@@ -217,12 +223,17 @@ def newest_per_sha(df: DataFrame) -> DataFrame:
 def artifact_export_candidates(
     artifacts: DataFrame, raw_objects: DataFrame, publications: DataFrame
 ) -> DataFrame:
-    """PDF artifacts with their bytes and title, one per digest, the newest."""
+    """PDF artifacts with their bytes and title, one per digest, the newest.
+
+    What its bytes must be holds for all artifacts of a digest, so the newest is taken before the objects are
+    joined; both lie by the digest then, and the artifacts are not shuffled again for them.
+    """
     titles = publications.select(
         F.col("id").alias("publication_id"), F.col("title").alias("publication_title")
     )
-    joined = artifacts.join(raw_objects, "sha256").join(titles, "publication_id")
-    return newest_per_sha(pdf_candidates(joined))
+    newest = newest_per_sha(artifacts.where(named_as_pdf()).join(titles, "publication_id"))
+    objects = raw_objects.where(F.col("size_bytes") > MIN_PDF_BYTES).dropDuplicates(["sha256"])
+    return newest.join(objects, "sha256")
 
 
 def pattern_priority_topk(candidates: DataFrame, patterns: Sequence[str], limit: int) -> DataFrame:

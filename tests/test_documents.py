@@ -292,3 +292,35 @@ def test_sheet_slots_are_not_shuffled(spark):
               for r in range(3) for c in range(3) for t in shown.get((r, c), [""])]
     assert found == sorted(wanted, key=lambda x: x[:3])
     assert C.sheet_to_grid(cells, texts=False).count() == len(wanted)
+
+
+def test_artifacts_are_shuffled_by_digest_once(spark):
+    from quire.operators import ingest as I
+
+    artifacts = spark.createDataFrame(
+        [("a", 1, "s", "x.pdf", None, 3), ("b", 2, "s", "y.pdf", None, 5), ("c", 9, "s", "z.pdf", None, 7), ("d", 1, "t", "t.pdf", None, 1),
+         ("e", 1, "u", "u.txt", "application/pdf", 1), ("f", 1, "s", "n.txt", None, 9)],
+        "id string, publication_id long, sha256 string, filename string, mime_type string, n int").withColumn(
+        "created_at", F.timestamp_seconds("n")).drop("n")
+    objects = spark.createDataFrame([("s", 2000), ("t", 1000), ("u", 1001)], "sha256 string, size_bytes long")
+    publications = spark.createDataFrame([(1, "one"), (2, "two")], "id long, title string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = I.artifact_export_candidates(artifacts, objects, publications)
+        assert len([line for line in exchanges(found) if "sha256" in line.split("hashpartitioning")[1][:12]]) == 2
+        assert sorted((r.sha256, r.id, r.publication_title, r.size_bytes) for r in found.collect()) == [
+            ("s", "b", "two", 2000), ("u", "e", "one", 1001)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_cells_of_some_documents(spark):
+    from workload import views as v
+
+    folder = "/root/testdata/sf0.001"
+    some = spark.createDataFrame([(2,), (5,), (5,), (10**9,)], "document_id long")
+    cells = v.v_cell(spark, folder)
+    wanted = cells.where("document_id IN (2, 5)")
+    found = v.v_cell(spark, folder, some)
+    assert found.count() == wanted.count() > 0 and found.exceptAll(wanted).isEmpty()
