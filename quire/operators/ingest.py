@@ -83,16 +83,26 @@ def pending_attachments(attachments: DataFrame, artifacts: DataFrame) -> DataFra
     return attachments.join(artifacts.select(*keys), keys, "left_anti")
 
 
-def dedup_decision(batch: DataFrame, known_sources: DataFrame, known_objects: DataFrame) -> DataFrame:
-    """Skip download and persist on a known source key, skip only the download on known bytes."""
+def with_source_path(rows: DataFrame, known_sources: DataFrame) -> DataFrame:
+    """``rows`` with ``source_path``, the object path of their known source key, else null."""
     by_source = known_sources.select(
         "source", "source_document_id", F.col("object_path").alias("source_path")
     )
+    return rows.join(by_source, ["source", "source_document_id"], "left")
+
+
+def dedup_decision(batch: DataFrame, known_sources: DataFrame | None, known_objects: DataFrame) -> DataFrame:
+    """Skip download and persist on a known source key, skip only the download on known bytes.
+
+    Where many rows share a source key, `with_source_path` on the publications and ``known_sources`` None spare
+    the batch a shuffle by that key: it has ``source_path`` then.
+    """
+    if known_sources is not None:
+        batch = with_source_path(batch, known_sources)
     by_sha = known_objects.select("sha256", F.col("object_path").alias("sha_path"))
     same_source, same_bytes = F.col("source_path").isNotNull(), F.col("sha_path").isNotNull()
     return (
-        batch.join(by_source, ["source", "source_document_id"], "left")
-        .join(by_sha, "sha256", "left")
+        batch.join(by_sha, "sha256", "left")
         .withColumns({
             "skip_download": same_source | same_bytes,
             "skip_persist": same_source,

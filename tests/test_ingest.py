@@ -254,6 +254,33 @@ def test_block_content_as_its_schema_says(spark):
     assert "schema_of_variant" not in plan and "lambda" not in plan
 
 
+def test_known_sources_are_looked_up_per_publication(spark):
+    pubs = spark.createDataFrame([(1, "A", "x"), (2, "A", "y"), (3, None, "z")], "publication_id int, source string, source_document_id string")
+    arts = spark.createDataFrame([(10, 1, "s1"), (11, 2, "s1"), (12, 3, "s2"), (13, 2, None), (14, 1, "s3")], "id int, publication_id int, sha256 string")
+    sources = spark.createDataFrame([("A", "x", "pub/1"), (None, "z", "pub/3")], "source string, source_document_id string, object_path string")
+    objects = spark.createDataFrame([("s1", "raw/s1"), (None, "raw/null")], "sha256 string, object_path string")
+    shown = ["id", "skip_download", "skip_persist", "existing_object_path", "reason"]
+    plain = I.dedup_decision(arts.join(pubs, "publication_id"), sources, objects).select(*shown)
+    early = I.dedup_decision(arts.join(I.with_source_path(pubs, sources), "publication_id"), None, objects).select(*shown)
+    rows = {tuple(r) for r in plain.collect()}
+    assert rows == {tuple(r) for r in early.collect()} and len(rows) == 5
+    assert (10, True, True, "pub/1", "source_document_id") in rows and (11, True, False, "raw/s1", "sha256") in rows
+
+
+def test_dedup_query_deals_digests_once(spark):
+    from __spark_entry__ import queries
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = queries()["dedup_decision"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # Both sides of three joins, and the objects' digests: by digest once, not by digest and path.
+    assert plan.count("Exchange hashpartitioning") == 6
+
+
 def test_boxes_are_read_from_one_pass_over_the_cells(spark):
     from __spark_entry__ import queries
 

@@ -335,14 +335,16 @@ def _(spark, d):
 def _(spark, d):
     pubs, art = v.v_pub(spark, d), v.v_art(spark, d)
     keys = pubs.select(F.col("id").alias("publication_id"), "source", "source_document_id")
-    batch = art.select("id", "sha256", "publication_id").join(keys, "publication_id")
     sources = pubs.where("id % 3 = 0").select(
         "source", "source_document_id", F.concat(F.lit("pub/"), F.col("id")).alias("object_path")
     )
-    objects = art.where("file_size % 1000 = 0").select(
+    # Source keys are looked up per publication, before the artifacts meet it.
+    keys = I.with_source_path(keys, sources).select("publication_id", "source_path")
+    batch = art.select("id", "sha256", "publication_id").join(keys, "publication_id")
+    objects = art.where("file_size % 1000 = 0").select("sha256").distinct().select(
         "sha256", F.concat(F.lit("raw/"), "sha256").alias("object_path")
-    ).distinct()
-    return I.dedup_decision(batch, sources, objects).select(
+    )
+    return I.dedup_decision(batch, None, objects).select(
         "id", "skip_download", "skip_persist", "existing_object_path", "reason"
     )
 
