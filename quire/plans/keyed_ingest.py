@@ -26,7 +26,9 @@ def insert_into(state: KeyedState, batch: DataFrame, order: Sequence[str | Colum
     if state.committed(version):
         return False
     fresh = U.first_per_key(batch.select(*state.schema.names), state.keys, order)
-    return state.write(fresh.join(state.lookup(batch, before=version), state.keys, "left_anti"), version)
+    # The shuffle that finds the first of a key deals it into its bucket, where the state's rows lie.
+    with state.dealing():
+        return state.write(fresh.join(state.lookup(batch, before=version), state.keys, "left_anti"), version, dealt=True)
 
 
 def replace_in(state: KeyedState, batch: DataFrame, version: int, processed: DataFrame | None = None) -> bool:

@@ -12,7 +12,8 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,6 +25,19 @@ BUCKETS = 64
 _GONE = "_gone"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+    """The session with other settings while a write is planned and run. They change no result."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @dataclass(frozen=True)
 class Piece:
     """Rows of one bucket that one version wrote: a delta, or all that the bucket held then."""
@@ -144,25 +158,39 @@ class KeyedState:
 
     def lookup(self, wanted: DataFrame, before: int | None = None) -> DataFrame:
         """Rows whose key is among those of ``wanted``. Buckets without such a key are not read; the state is not shuffled."""
-        wanted = wanted.select(*self.keys).distinct()
-        # As many numbers as buckets at most.
+        pieces = self.pieces(before)
+        if not pieces:
+            return self._current([])
+        wanted = wanted.select(*self.keys)
+        # As many numbers as buckets at most; the keys themselves aren't shuffled for them.
         touched = {r["g"] for r in wanted.select(self.bucket().alias("g")).distinct().collect()}
-        return self._current([p for p in self.pieces(before) if p.bucket in touched], wanted)
+        return self._current([p for p in pieces if p.bucket in touched], wanted.distinct())
 
     # --- writing ---------------------------------------------------------------------------------------------
 
     def committed(self, version: int) -> bool:
         return any(e["version"] >= version for e in self._entries())
 
+    def dealing(self):
+        """Settings under which what is grouped by the keys is dealt into this table's buckets by that very shuffle."""
+        return settings(self.spark, {"spark.sql.shuffle.partitions": self.buckets,
+                                     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": self.buckets})
+
     def _put(self, rows: DataFrame, folder: str, dealt: bool = False) -> list[int]:
-        """Write ``rows`` by bucket; the buckets that got some. Rows that come ``dealt`` by bucket are not shuffled."""
+        """Write ``rows`` by bucket; the buckets that got some. Rows that come ``dealt`` by bucket are not shuffled.
+
+        A task has the rows of few buckets and keeps their files open, so rows are not sorted by bucket first.
+        """
         fs, path = self._store(), self._path(folder)
         fs.delete(path, True)  # what a failed write of this version left
         name = f"quire_put_{uuid.uuid4().hex}"
         columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema]
         try:
-            rows = rows.select(*columns, F.col(_GONE), self.bucket().alias("g"))
-            ((rows if dealt else rows.repartition("g")).write.partitionBy("g").bucketBy(self.buckets, *self.keys).option("path", f"{self.root}/{folder}").saveAsTable(name))
+            rows = rows.select(*columns, F.col(_GONE)).withColumn("g", self.bucket())
+            rows = rows if dealt else rows.repartition(self.buckets, *self.keys)
+            with settings(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": 4}):
+                (rows.write.partitionBy("g").bucketBy(self.buckets, *self.keys).option("path", f"{self.root}/{folder}")
+                 .option("compression", "zstd").saveAsTable(name))
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         if not fs.exists(path):
@@ -170,10 +198,11 @@ class KeyedState:
         found = (s.getPath().getName() for s in fs.listStatus(path))
         return sorted(int(name[2:]) for name in found if name.startswith("g="))
 
-    def write(self, rows: DataFrame, version: int, keys: DataFrame | None = None) -> bool:
+    def write(self, rows: DataFrame, version: int, keys: DataFrame | None = None, dealt: bool = False) -> bool:
         """Replace all rows of the keys in ``rows`` by those in ``rows``; False if the version is there already.
 
-        ``keys`` names keys that are replaced too and may have no new rows: these are gone.
+        ``keys`` names keys that are replaced too and may have no new rows: these are gone. Rows come ``dealt`` if they
+        were grouped by the keys under `dealing`; others are dealt here.
         """
         if self.committed(version):
             return False
@@ -183,7 +212,7 @@ class KeyedState:
             rest = {f.name: F.lit(None).cast(f.dataType) for f in self.schema if f.name not in self.keys}
             rows = rows.unionByName(gone.withColumns({**rest, _GONE: F.lit(True)}))
         folder = f"v={version}"
-        buckets = self._put(rows, folder)
+        buckets = self._put(rows, folder, dealt)
         self._record(f"{version:012d}", {"version": version, "folder": folder, "buckets": buckets})
         return True
 

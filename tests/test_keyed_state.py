@@ -164,3 +164,31 @@ def test_a_batch_writes_its_own_lineages(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "members" / "v=1")).count() == 6
     latest = {r.source_document_id for r in state.read().where("is_latest_version").collect()}
     assert "late" in latest and "d14" not in latest and len(latest) == 100
+
+
+def test_an_insert_is_dealt_by_the_shuffle_that_finds_the_first_of_a_key(spark, tmp_path, monkeypatch):
+    from quire.plans import keyed_ingest
+
+    state = KeyedState(spark, str(tmp_path / "dealt"), "k int, v string", ["k"], buckets=8)
+    keyed_ingest.insert_into(state, spark.range(0, 500).selectExpr("cast(id % 100 as int) k", "cast(id as string) v"), ["v"], 0)
+    plans, put = [], KeyedState._put
+
+    def watched(self, rows, folder, dealt=False):
+        plans.append((dealt, rows._jdf.queryExecution().executedPlan().toString()))
+        return put(self, rows, folder, dealt)
+
+    monkeypatch.setattr(KeyedState, "_put", watched)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed_ingest.insert_into(state, spark.range(50, 900).selectExpr("cast(id % 300 as int) k", "cast(id as string) v"), ["v"], 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (dealt, plan), = plans
+    assert dealt and plan.count("Exchange hashpartitioning(k") == plan.count("Exchange") == 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    rows = {r.k: r.v for r in state.read().collect()}
+    assert len(rows) == 300 and rows[7] == "107" and rows[250] == "250" and state.read().count() == 300
+    # A bucket is one file of a version.
+    for version in ("v=0", "v=1"):
+        assert all(len(list(g.glob("*.parquet"))) == 1 for g in (tmp_path / "dealt" / version).glob("g=*"))
