@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm.common import table, written
+from quire.llm.common import in_small_batches, table, written
 from quire.llm.languages import keep_identified
 from quire.llm.mixing import mixed_documents
 from quire.llm.piece_encoding import encode_documents
@@ -16,11 +16,13 @@ from quire.llm.shingle_join import keep_first_of_class
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learnt language; texts without a letter or with more noise than language go."""
+    in_small_batches(spark)
     return keep_identified(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class that n-gram Jaccard links make."""
+    in_small_batches(spark)
     return keep_first_of_class(docs)
 
 
@@ -36,6 +38,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, ends) of each document taken."""
+    in_small_batches(spark)
     return encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

@@ -30,6 +30,22 @@ def row_key(docs: DataFrame) -> Column:
                        F.hex(F.xxhash64(F.coalesce("text", F.lit("")))))
 
 
+#: Rows that go to Python at once where whole texts do; Spark's own limit counts 10,000 rows, however long.
+ROWS_AT_ONCE = 1_024
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python a thousand rows at a time: JVM and worker each hold a batch, and copies of it.
+
+    A smaller number that the session has stays. Documents whose languages are fitted together change with it, so their
+    shares can move within the fit's `CLOSE`.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > ROWS_AT_ONCE:
+        spark.conf.set(key, str(ROWS_AT_ONCE))
+
+
 class Memo(dict):
     """A cache of at most ``limit`` entries that starts anew when it is full. It only saves time."""
 

@@ -5,12 +5,14 @@ import re
 
 import corpus_pipeline
 import duckdb
+import pyarrow as pa
 import pytest
 from cases import SCHEMA, awkward_rows, empty, sentence
 from pyspark.sql import functions as F
 from workload.verify import TABLES, rows_of
 
 from __spark_entry__ import oracle_sql, queries
+from quire.llm.common import ROWS_AT_ONCE
 from quire.llm.registry import ORACLES, QUERIES
 from quire.session import new_shared_path
 
@@ -33,6 +35,25 @@ def test_stages_are_the_dealt_ones():
     assert "pipeline" in queries() and set(ORACLES) <= set(oracle_sql())
 
 
+@pytest.mark.parametrize("stage", ["identify", "deduplicate", "encode"])
+def test_stages_hand_texts_to_python_in_small_batches(spark, stage):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame(corpus_rows()[:30], SCHEMA)
+    before = spark.conf.get(key)
+    try:
+        for given, kept in ((10_000, ROWS_AT_ONCE), (0, ROWS_AT_ONCE), (7, 7)):
+            spark.conf.set(key, str(given))
+            if stage == "deduplicate" and given != 10_000:
+                continue
+            getattr(corpus_pipeline, stage)(spark, docs, "")
+            assert int(spark.conf.get(key)) == kept
+            sizes = spark.range(3000, numPartitions=1).mapInArrow(
+                lambda batches: (b.select([0]).slice(0, 1).set_column(0, "id", pa.array([b.num_rows])) for b in batches), "id long")
+            assert max(r["id"] for r in sizes.collect()) <= kept
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_each_stage_takes_effect(spark):
     docs = spark.createDataFrame(corpus_rows(), SCHEMA).withColumn("row", F.lit(1))
     steps, kept = dict(corpus_pipeline.STAGES), {}
