@@ -77,13 +77,11 @@ class ChunkEncoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _learn(self, chunks: Iterable[str]) -> None:
-        known, plain = self.known, []
-        for chunk in chunks:
-            if chunk.isalpha() and (chunk.isascii() or _apart().isdisjoint(chunk)):
-                plain.append(chunk)
-            else:
-                known[chunk] = np.array(self._ids(chunk), "<u4").tobytes()
+    def _learn(self, plain: list[str], others: Iterable[str]) -> None:
+        """Keep the ids of words of letters only, met in one text, and of other chunks, met one by one."""
+        known = self.known
+        for chunk in others:
+            known[chunk] = np.array(self._ids(chunk), "<u4").tobytes()
         if not plain:
             return
         ids = np.array(self._ids(" ".join(plain)), "<u4")
@@ -93,35 +91,49 @@ class ChunkEncoder:
         for chunk, start, end in zip(plain, [0, *ends], ends):
             known[chunk] = data[start:end]
 
-    def _parts(self, chunk: str) -> tuple[str, str]:
-        """Letters and the signs that follow them, or the whole chunk; plain letters without their case."""
-        core = chunk.rstrip(string.punctuation)
-        if core.isascii():
-            return (core.lower(), chunk[len(core):]) if core.isalpha() else (chunk, "")
-        return (core, chunk[len(core):]) if core.isalpha() and _apart().isdisjoint(core) else (chunk, "")
+    def _learn_chunks(self, new: Iterable[str]) -> None:
+        """Keep the ids of chunks: those of their letters, plain ones without their case, and of the signs that follow.
+
+        Chunks of another make are learnt whole. The chunks of plain characters are put in lower case together.
+        """
+        known, signs, ascii_only, chunks, cores, tails, whole = self.known, string.punctuation, [], [], [], [], []
+        wide = []
+        for chunk in new:
+            (ascii_only if chunk.isascii() else wide).append(chunk)
+        for chunk, low in zip(ascii_only, " ".join(ascii_only).lower().split(" ")):
+            core = low.rstrip(signs)
+            if core.isalpha():
+                chunks.append(chunk)
+                cores.append(core)
+                tails.append(low[len(core):])
+            else:
+                whole.append(chunk)
+        for chunk in wide:
+            core = chunk.rstrip(signs)
+            if core.isascii():
+                core = core.lower()
+            if core.isalpha() and (core.isascii() or _apart().isdisjoint(core)):
+                chunks.append(chunk)
+                cores.append(core)
+                tails.append(chunk[len(core):])
+            else:
+                whole.append(chunk)
+        self._learn(list(set(cores).difference(known)), set(tails).union(whole).difference(known, ("",)))
+        for chunk, core, tail in zip(chunks, cores, tails):
+            known[chunk] = known[core] + known[tail] if tail else known[core]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [[c for c in self.blank.split(t) if c] if any(c in t for c in self.odd) else t.split() for t in texts]
-        known, found, pending = self.known, [b""] * len(split), []
+        known, used = self.known, set().union(*split)
         if len(known) > self.limit:  # what these texts use stays, and so does all that is frequent
-            kept = {c: known[c] for c in set().union(*split).intersection(known)}
+            kept = {c: known[c] for c in used.intersection(known)}
             known.clear()
             known.update(kept)
-        for i, chunks in enumerate(split):
-            try:
-                found[i] = b"".join(map(known.__getitem__, chunks))
-            except KeyError:
-                pending.append(i)
-        if pending:
-            new = set().union(*(split[i] for i in pending)).difference(known)
-            parts = {c: self._parts(c) for c in new}
-            self._learn({part for pair in parts.values() for part in pair if part}.difference(known))
-            for chunk, (core, tail) in parts.items():
-                known[chunk] = known[core] + known[tail] if tail else known[core]
-            for i in pending:
-                found[i] = b"".join(map(known.__getitem__, split[i]))
-        return found
+        new = used.difference(known)
+        if new:
+            self._learn_chunks(new)
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]

@@ -155,3 +155,21 @@ def test_no_documents_make_empty_token_files(spark):
     path = new_shared_path(spark, "files")
     files.write_token_files(empty(spark), WORDS, path)
     assert files.read_token_files(spark, path).count() == 0
+
+
+def test_texts_with_new_words_are_gone_through_once():
+    class Counted(dict):
+        lookups = 0
+
+        def __getitem__(self, key):
+            Counted.lookups += 1
+            return super().__getitem__(key)
+
+    made, library = files.ChunkEncoder(WORDS), Tokenizer.from_file(WORDS)
+    made.known = Counted()
+    made.encode_all(["the cat"])
+    Counted.lookups = 0
+    texts = ["the cat " * 500 + end for end in ("Zebra,", "ZEBRA", "\u00c9t\u00e9.", "don't ...", "\u0390x", "\u0130a,b", "x\x1cY", "")]
+    found = made.encode_all(texts)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert Counted.lookups < 1.1 * sum(len(t.split()) for t in texts)
