@@ -31,7 +31,9 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataF
     rows = written(rows.withColumn("unit", tied(identity, seed)), "shard-rows")
     total = rows.count()
     buckets = max(1, round(4 * total ** 0.5))
-    rows = rows.withColumn("bucket", F.floor(F.col("unit") * buckets / SPAN)).withColumn("one", F.lit(1))
+    # As a whole number, unit * buckets would pass 64 bits from 2048 buckets on; as a double it keeps the order.
+    share = F.col("unit").cast("double") / SPAN
+    rows = rows.withColumn("bucket", F.floor(share * buckets)).withColumn("one", F.lit(1))
     ranked = running_start(rows, ["key"], "bucket", ["unit", "doc_id", "text_crc32", "size"], "one", "source_rank")
     counts = rows.groupBy("key").agg(F.count("*").alias("source_rows"))
     ranked = ranked.join(counts, "key").withColumn("place", (F.col("source_rank") + 0.5) / F.col("source_rows"))

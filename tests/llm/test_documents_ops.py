@@ -306,6 +306,15 @@ def test_shards_match_the_mixture(spark, shards):
         assert all(abs(inside[s] - n / shards) <= 2.5 for s in range(shards)), key
 
 
+def test_shards_of_more_rows_than_a_product_of_64_bits_counts(spark):
+    rows = [(i, f"t{i % 9}", None, "abb"[i % 3], None) for i in range(270_000)]  # 2078 buckets of a 52-bit number
+    docs = spark.range(270_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 9).alias("text"),
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
+    got = sharding.interleave(docs).collect()
+    assert by_row(got) == by_row(brute_shards(rows, sharding.SHARDS))
+
+
 def test_no_rows_make_no_shards(spark):
     assert sharding.interleave(empty(spark)).count() == 0
 
