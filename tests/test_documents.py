@@ -6,15 +6,18 @@ import html
 import io
 import json
 import os
+import re
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from quire import values as V
+from quire.functions import tables as T
 from quire.functions import text as X
 from quire.operators import cells as C
 from quire.operators import pages as P
+from quire.operators import reconstruct as R
 from quire.operators import sections as S
 from quire.sources import binary, catalog, connectors, files, listing
 from quire.streaming import streams
@@ -324,3 +327,44 @@ def test_cells_of_some_documents(spark):
     wanted = cells.where("document_id IN (2, 5)")
     found = v.v_cell(spark, folder, some)
     assert found.count() == wanted.count() > 0 and found.exceptAll(wanted).isEmpty()
+
+
+def test_words_that_a_match_needs():
+    patterns = [r.pattern for r in V.HEADING_RULES] + [V.UNIT_CAPTION, V.UNIT_SCALE, "ab?c{2}|(?:de|f*)gh", "a(?!b)cd", "x+|yy"]
+    texts = ["CASH_FLOW STATEMENT", "P & L", "Units: VND", "in  Millions of x", "ACC", "fgh", "gh", "acd", "YY", "thuyet minh", "trieu dong", "bao cao lai-lo"]
+    for pattern in patterns:
+        words = X.needed_words(pattern)
+        assert words is not None
+        for text in texts:
+            assert not re.search(pattern, text, re.I) or any(w in text.lower() for w in words), (pattern, text)
+    for pattern in ("a|", "[a[bc]]d", "(?x)a b", "\\p{L}ab", "\\Qab\\E", "(a", "[^x]", "\u0131"):
+        assert X.needed_words(pattern) is None
+    assert X.needed_words("\u0111vt") == ()
+
+
+def test_headings_are_those_of_all_patterns(spark):
+    """A line is a heading whether or not it has letters beyond ASCII, also such as only case-blind patterns take for ASCII."""
+    rules = sorted(V.HEADING_RULES, key=lambda rule: -rule.priority)
+    lines = ["BALANCE SHEET", "  income_statement ", "\u0131ncome statement", "B\u1ea3ng c\u00e2n \u0111\u1ed1i k\u1ebf to\u00e1n", "P & L", "p&l",
+             "ordinary", "", None, "a statement", "Thuy\u1ebft minh", "notes to financial \u017ftatements", "\ud55c balance sheet"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, t string")
+    plain = X.first_matching(lambda pattern: F.col("f").rlike(pattern), rules, lambda rule: F.lit(rule.name))
+    got = df.withColumn("f", X.fold_text(X.strip(F.col("t")))).select(
+        "t", S.heading_rule(F.col("t"))["matched_rule"].alias("got"), plain.alias("plain")).collect()
+    assert all(r.got == r.plain for r in got) and sum(r.got is not None for r in got) == 9
+    units = ["Unit: VND", "\u0111\u01a1n v\u1ecb: \u0111\u1ed3ng", "IN MILLIONS OF x", "3 m\u0131ll\u0131on vnd", "tri\u1ec7u \u0111\u1ed3ng", "none", None, ""]
+    df = spark.createDataFrame([(t,) for t in units], "t string")
+    for r in df.select("t", T.has_unit(F.col("t")).alias("has"), T.unit_caption(F.col("t")).alias("c"), T.unit_scale(F.col("t")).alias("s"),
+                       F.regexp_extract("t", f"(?isU){V.UNIT_CAPTION}", 1).alias("c0"), F.regexp_extract("t", f"(?iU){V.UNIT_SCALE}", 1).alias("s0")).collect():
+        assert (r.c or "", r.s or "") == (r.c0 or "", r.s0 or "") and r.has == (None if r.t is None else bool(r.c0 or r.s0))
+
+
+def test_a_text_is_parted_into_lines_once(spark, capsys):
+    texts = ["a\r\nb\n\nc", "\n", "x", "", None, "a\x1db\x85\u2028c\r", "\r\n\r"]
+    pages = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "document_id bigint, page_number int, text string")
+    got = {r.page_number: r.x for r in pages.select("page_number", S.lines_with_breaks(F.col("text")).alias("x")).collect()}
+    assert got == {i: None if t is None else t.splitlines(keepends=True) for i, t in enumerate(texts)}
+    for df in (R.surrounding_context(pages), S.collect_section_hits(pages)):
+        df.explain()
+        plan = capsys.readouterr().out
+        assert len(re.findall(r"regexp_extract_all\(text#", plan)) == 1, plan
